@@ -50,6 +50,8 @@ SPEND_GRID = (dt.date(1995, 5, 20), dt.date(1995, 6, 1))
 INVOICE_MONTHS = (dt.date(1995, 1, 1), dt.date(1995, 12, 1))
 SLICE_REGIONS = ("ASIA", "EUROPE", "AFRICA")
 SLICE_DATES = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
+# The sample orders cover 1995-01 to 2001-08; fixed, so that the matrix has fixed columns.
+SAMPLE_MONTHS = 80
 COUNTRIES = tuple(f"NATION_{i}" for i in range(25))
 
 
@@ -344,7 +346,8 @@ def portfolio_drilldown(spark, root):
 
 
 def billing_heat_matrix(spark, root):
-    return reports.billing_heat_matrix(billing_cohorts(samples.fact_client_billing(spark, root)))
+    cohorts = billing_cohorts(samples.fact_client_billing(spark, root))
+    return reports.billing_heat_matrix(cohorts, range(SAMPLE_MONTHS))
 
 
 def _touch_pair(spark, root):
