@@ -11,53 +11,41 @@ from pyspark.sql import functions as F
 EARLIEST = dt.date(2020, 1, 1)
 LATEST = dt.date(2027, 12, 31)
 
-# Text shape -> pattern. A shape is tested before its pattern is tried, so a
-# value is parsed at most once and a wrong guess never throws inside the JVM.
-ISO_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d'T'H:mm:ss"),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d[,] yyyy"),
-    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d[,] yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
-)
-# Shapes whose first two numbers are month and day, or day and month when the
-# first one cannot be a month.
-SLASH_SHAPES = (
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy", "d-M-yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm", "d/M/yyyy H:mm"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss"),
+# Spellings with a month name; the time of day is optional.
+NAMED_MONTHS = "[MMMM d[,] yyyy][MMM d[,] yyyy][d MMMM yyyy][d MMM yyyy][ H:mm[:ss]]"
+# Numeric spellings turned into year-month-day, which the plain cast understands
+# (with or without a time of day). A leading number that cannot be a month is the day.
+NUMERIC_TURNS = (
+    (r"^(1[3-9]|2\d|3[01])-(\d{1,2})-(\d{4})", "$3-$2-$1"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})", "$3-$1-$2"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
 )
 
 
 def parse_date_flexible(col: Column) -> Column:
-    """Timestamp from mixed date spellings, null when unparseable."""
-    text = F.trim(col)
-    first = F.regexp_extract(text, r"^(\d{1,2})", 1)
-    chain = None
-    for shape, pattern in ISO_SHAPES:
-        parsed = F.try_to_timestamp(text, F.lit(pattern))
-        chain = F.when(text.rlike(shape), parsed) if chain is None else chain.when(text.rlike(shape), parsed)
-    for shape, month_first, day_first in SLASH_SHAPES:
-        day_leads = first.try_cast("int") > 12
-        chain = chain.when(text.rlike(shape) & day_leads, F.try_to_timestamp(text, F.lit(day_first)))
-        chain = chain.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(month_first)))
-    return chain
+    """Timestamp from mixed date spellings (month first when ambiguous), null when unparseable.
+
+    Numeric dates are rearranged as text and cast: no formatter, no exception
+    for a bad value, and an expression small enough for code generation wherever
+    the optimizer copies it to.
+    """
+    numeric = F.translate(F.trim(col), "/", "-")
+    for shape, turned in NUMERIC_TURNS:
+        numeric = F.regexp_replace(numeric, shape, turned)
+    named = F.when(col.rlike(r"\d{4}"), F.try_to_timestamp(F.trim(col), F.lit(NAMED_MONTHS)))
+    return F.when(col.rlike("[A-Za-z]{3}"), named).otherwise(numeric.try_cast("timestamp"))
 
 
-def within_bounds(ts: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST) -> Column:
-    """Null for a timestamp before ``earliest`` or after midnight of ``latest``."""
-    return F.when(ts.between(F.lit(earliest).cast("timestamp"), F.lit(latest).cast("timestamp")), ts)
+def in_bounds(ts: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST) -> Column:
+    """Whether a timestamp lies between ``earliest`` and midnight of ``latest``."""
+    # The SQL function evaluates its input once, Column.between twice.
+    return F.call_function("between", ts, F.lit(earliest).cast("timestamp"), F.lit(latest).cast("timestamp"))
 
 
 def clean_date(col: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST) -> Column:
-    """Parse, drop out-of-bounds values (compared with the time of day), keep the date."""
-    return within_bounds(parse_date_flexible(col), earliest, latest).cast("date")
+    """Date from mixed spellings; null when unparseable or out of bounds (compared with the time of day)."""
+    ts = parse_date_flexible(col)
+    return F.when(in_bounds(ts, earliest, latest), ts.cast("date"))
 
 
 def month_offset(later: Column, earlier: Column) -> Column:

@@ -19,7 +19,7 @@ from orrery.functions.text import (
 )
 from orrery.operators.first_rows import ROW_ORDER, keep_first
 from orrery.operators.membership import keep_referenced
-from orrery.operators.rejects import clean_rows, reject_counts, rejected_rows, tag_rejects
+from orrery.operators.rejects import clean_rows, reject_counts, rejected_rows
 from orrery.operators.touch import attribute_sales, best_daily_sessions, rank_daily_sessions
 from orrery.plans import agency_model, measures, reports, retail_model
 from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
@@ -73,35 +73,35 @@ def tidy(df: DataFrame) -> DataFrame:
 # -- cleansing ------------------------------------------------------------------
 
 def product_price_filter(spark, root):
-    raw = samples.retail_raw(spark, root)["products"]
+    raw = samples.raw_table(spark, root, "products")
     return clean_rows(retail_model.tag_products(raw)).select("product_id", "base_price")
 
 
 def first_orders(spark, root):
-    raw = samples.retail_raw(spark, root)["orders"]
+    raw = samples.raw_table(spark, root, "orders")
     return keep_first(raw, ["order_id"], [ROW_ORDER]).select("order_id", "status")
 
 
 def title_cased_names(spark, root):
-    raw = samples.retail_raw(spark, root)["customers"]
+    raw = samples.raw_table(spark, root, "customers")
     name = default_then_strip(F.col("full_name"), retail_model.DEFAULT_NAME)
     return raw.groupBy(title_case(name).alias("full_name")).agg(F.count("*").alias("n_rows"))
 
 
 def standard_countries(spark, root):
-    raw = samples.retail_raw(spark, root)["customers"]
+    raw = samples.raw_table(spark, root, "customers")
     country = map_values(default_then_strip(F.col("country"), "Unknown"), COUNTRY_NAMES)
     return raw.groupBy(country.alias("country")).agg(F.count("*").alias("n_rows"))
 
 
 def default_emails(spark, root):
-    raw = samples.retail_raw(spark, root)["customers"]
+    raw = samples.raw_table(spark, root, "customers")
     email = F.lower(default_then_strip(F.col("email"), retail_model.DEFAULT_EMAIL))
     return raw.groupBy(email.alias("email")).agg(F.count("*").alias("n_rows"))
 
 
 def parsed_order_dates(spark, root):
-    raw = samples.retail_raw(spark, root)["orders"]
+    raw = samples.raw_table(spark, root, "orders")
     return raw.select(
         "order_id",
         ROW_ORDER,
@@ -111,23 +111,21 @@ def parsed_order_dates(spark, root):
 
 
 def order_statuses(spark, root):
-    raw = samples.retail_raw(spark, root)["orders"]
+    raw = samples.raw_table(spark, root, "orders")
     status = capitalize(default_then_strip(F.col("status"), retail_model.DEFAULT_STATUS))
     return raw.groupBy(status.alias("status")).agg(F.count("*").alias("n_rows"))
 
 
 def sane_items(spark, root):
-    raw = samples.retail_raw(spark, root)
-    products = retail_model.build_dim_products(raw["products"])
-    sane = clean_rows(tag_rejects(raw["order_items"], retail_model.item_rules()))
-    kept = keep_referenced(sane, "product_id", products)
+    products = retail_model.build_dim_products(samples.raw_table(spark, root, "products"))
+    items = samples.raw_table(spark, root, "order_items")
+    kept = keep_referenced(retail_model.sane_items(items), "product_id", products)
     return kept.groupBy("product_id").agg(F.count("*").alias("n_items"), F.sum("quantity").alias("quantity"))
 
 
 def orders_of_known_customers(spark, root):
-    raw = samples.retail_raw(spark, root)
-    customers = retail_model.build_dim_customers(raw["customers"])
-    return keep_referenced(raw["orders"], "customer_id", customers).groupBy("customer_id").agg(
+    customers = retail_model.build_dim_customers(samples.raw_table(spark, root, "customers"))
+    return keep_referenced(samples.raw_table(spark, root, "orders"), "customer_id", customers).groupBy("customer_id").agg(
         F.count("*").alias("n_orders")
     )
 
@@ -142,18 +140,18 @@ def rejected_orders(spark, root):
 
 
 def defaulted_signups(spark, root):
-    tagged = retail_model.tag_customers(samples.retail_raw(spark, root)["customers"])
+    tagged = retail_model.tag_customers(samples.raw_table(spark, root, "customers"))
     return clean_rows(tagged).groupBy("signup_defaulted").agg(F.count("*").alias("n_customers"))
 
 
 # -- models -----------------------------------------------------------------------
 
 def model_products(spark, root):
-    return retail_model.build_dim_products(samples.retail_raw(spark, root)["products"]).drop(ROW_ORDER)
+    return retail_model.build_dim_products(samples.raw_table(spark, root, "products")).drop(ROW_ORDER)
 
 
 def model_customers(spark, root):
-    return retail_model.build_dim_customers(samples.retail_raw(spark, root)["customers"])
+    return retail_model.build_dim_customers(samples.raw_table(spark, root, "customers"))
 
 
 def _galaxy(spark, root):

@@ -311,9 +311,13 @@ def retail_raw_text(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: view(spark, root) for name, view in RAW_VIEWS.items()}
 
 
+def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One dirty raw table after no-value tokens are nulled and numbers typed."""
+    return normalize(RAW_VIEWS[name](spark, root), RETAIL_RAW[name])
+
+
 def retail_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The dirty raw tables after no-value tokens are nulled and numbers typed."""
-    return {name: normalize(df, RETAIL_RAW[name]) for name, df in retail_raw_text(spark, root).items()}
+    return {name: raw_table(spark, root, name) for name in RAW_VIEWS}
 
 
 # -- agency ---------------------------------------------------------------------
