@@ -5,7 +5,7 @@ Unlike the analytics queries, the sales measures include cancelled orders.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,39 +15,44 @@ from orrery.functions.ratios import ratio_or_zero
 from orrery.operators.comparisons import year_over_year
 
 
+Measure = Callable[[], Column]
+
+
 def _total(column: str) -> Column:
     return F.sum(column).cast("double")
 
 
-SALES: dict[str, Column] = {
-    "total_revenue": _total("line_subtotal"),
-    "units_sold": F.sum("quantity"),
-    "average_order_value": ratio_or_zero(F.sum("line_subtotal"), F.count_distinct("order_id")),
-    "customer_lifetime_value": ratio_or_zero(F.sum("line_subtotal"), F.count_distinct("customer_id")),
-    "active_customers": F.count_distinct("customer_id"),
+SALES: dict[str, Measure] = {
+    "total_revenue": lambda: _total("line_subtotal"),
+    "units_sold": lambda: F.sum("quantity"),
+    "average_order_value": lambda: ratio_or_zero(F.sum("line_subtotal"), F.count_distinct("order_id")),
+    "customer_lifetime_value": lambda: ratio_or_zero(F.sum("line_subtotal"), F.count_distinct("customer_id")),
+    "active_customers": lambda: F.count_distinct("customer_id"),
 }
 
-ADS: dict[str, Column] = {
-    "managed_ad_spend": _total("ad_spend"),
-    "client_revenue_generated": _total("client_conversion_revenue"),
-    "managed_roas": ratio_or_zero(F.sum("client_conversion_revenue"), F.sum("ad_spend")),
-    "cost_per_acquisition": ratio_or_zero(F.sum("ad_spend"), F.sum("conversions")),
-    "click_through_rate": ratio_or_zero(F.sum("clicks"), F.sum("impressions")),
+ADS: dict[str, Measure] = {
+    "managed_ad_spend": lambda: _total("ad_spend"),
+    "client_revenue_generated": lambda: _total("client_conversion_revenue"),
+    "managed_roas": lambda: ratio_or_zero(F.sum("client_conversion_revenue"), F.sum("ad_spend")),
+    "cost_per_acquisition": lambda: ratio_or_zero(F.sum("ad_spend"), F.sum("conversions")),
+    "click_through_rate": lambda: ratio_or_zero(F.sum("clicks"), F.sum("impressions")),
 }
 
-BILLING: dict[str, Column] = {
-    "total_billing": _total("total_billing_amount"),
-    "average_monthly_billing": ratio_or_zero(
+BILLING: dict[str, Measure] = {
+    "total_billing": lambda: _total("total_billing_amount"),
+    "average_monthly_billing": lambda: ratio_or_zero(
         F.sum("total_billing_amount"), F.count_distinct(month_start(F.col("invoice_date")))
     ),
-    "active_clients": F.count_distinct("client_id"),
+    "active_clients": lambda: F.count_distinct("client_id"),
 }
 
 
-def evaluate(df: DataFrame, measures: Mapping[str, Column], by: Sequence[str] = (), only: Sequence[str] = ()) -> DataFrame:
+def evaluate(
+    df: DataFrame, measures: Mapping[str, Measure], by: Sequence[str] = (), only: Sequence[str] = ()
+) -> DataFrame:
     """Measures per group; filters on ``df`` are the report's filter context."""
     chosen = only or tuple(measures)
-    return df.groupBy(*by).agg(*[measures[name].alias(name) for name in chosen])
+    return df.groupBy(*by).agg(*[measures[name]().alias(name) for name in chosen])
 
 
 def conversion_rate(sales: DataFrame, traffic: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -261,7 +261,7 @@ TABLES = {
         select * replace (case when product_id % 400 <> 0 then product_id end as product_id,
                           case when product_id % 50 = 0 then 0 else base_price end as base_price)
         from dim_products""",
-    "bad_dates": "select * from dim_date where day <> 31",
+    "bad_dates": "select * from dim_date where day <> 29",
     "bad_sales": f"""
         select * replace (
           case when order_id % 211 <> 0 then order_item_id end as order_item_id,

@@ -175,7 +175,7 @@ def retail_with_faults(spark: SparkSession, root: str) -> dict[str, DataFrame]:
                 "base_price": F.when(_every(product, 50), F.lit(0)).otherwise(F.col("base_price")).cast("decimal(18,2)"),
             }
         ),
-        "dim_date": clean["dim_date"].filter(F.col("day") != 31),
+        "dim_date": clean["dim_date"].filter(F.col("day") != 29),
         "fact_sales": sales,
         "fact_web_traffic": traffic,
     }
