@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.session import ensure_checkpoint_dir
+from orrery.session import materialize
 
 
 @dataclass(frozen=True)
@@ -52,13 +52,12 @@ def tile_cuts(df: DataFrame, key: str, tiles: Sequence[Tile], n_tiles: int) -> d
 
     All orderings are range-partitioned and sorted together in one shuffle, with
     the unique key as last sort column so that ties spread over partitions. The
-    position inside each sorted partition is checkpointed, which fixes it for the
-    two small look-ups that follow: row counts per partition (at most one row per
+    position inside each sorted partition is written to the shared scratch
+    folder, which fixes it for the two small look-ups that follow: row counts per partition (at most one row per
     partition and ordering) and the cut rows themselves (``n_tiles - 1`` per
     ordering).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     value_type = _common_type(df, tiles)
     names = ["null_rank", "value", "key_rank", "ident"]
     orderings = [
@@ -68,11 +67,11 @@ def tile_cuts(df: DataFrame, key: str, tiles: Sequence[Tile], n_tiles: int) -> d
     stacked = df.select(F.inline(F.array(*orderings)))
     sort = ["ordering", *names]
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
+    placed = materialize(
         stacked.repartitionByRange(n_parts, *sort)
         .sortWithinPartitions(*sort)
-        .withColumn("place", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("place", F.monotonically_increasing_id()),
+        "tiles",
     )
     runs = (
         placed.groupBy("ordering", F.shiftright("place", 33).alias("part"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orrery.operators.tiles import Tile, with_tiles
-from orrery.session import ensure_checkpoint_dir
+from orrery.session import materialize
 
 TILES = (
     Tile("r_score", "recency_days", descending=True),
@@ -42,12 +42,14 @@ def customer_value(fact_sales: DataFrame) -> DataFrame:
 def recency_table(fact_sales: DataFrame) -> DataFrame:
     """Customers with at least one counted line, their recency, frequency and money.
 
-    Checkpointed: it is one row per customer, and both the ranking and the final
-    report read it, so the sales are scanned once.
+    Written to the shared scratch folder: it is one row per customer, and both
+    the ranking and the final report read it, so the sales are scanned once. The
+    newest order date is observed on that write.
     """
-    ensure_checkpoint_dir(fact_sales.sparkSession)
-    valued = customer_value(fact_sales).checkpoint()
-    newest = valued.agg(F.max("newest").alias("d")).first()["d"]
+    newest_order = Observation()
+    valued = customer_value(fact_sales).observe(newest_order, F.max("newest").alias("day"))
+    valued = materialize(valued, "customer-value")
+    newest = newest_order.get["day"]
     return valued.filter("_rows > 0").select(
         "customer_id",
         F.date_diff(F.lit(newest), F.col("last_purchase_date")).alias("recency_days"),

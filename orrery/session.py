@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Behaviour settings only. Sizes (executors, memory, shuffle partitions) belong
 # to the cluster's own configuration.
@@ -18,6 +18,8 @@ DEFAULTS = {
     # Map-side partial results of a hot key may still be large: let the optimizer
     # judge skew on compressed shuffle blocks of this size.
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
+    # Recording the caller's source line for every column expression is costly.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -49,14 +51,18 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable on this session."""
-    root = scratch_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared scratch folder."""
     root = scratch_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and read it back.
+
+    Like a checkpoint it ends the lineage and survives lost executors, but the
+    rows are computed only once and later readers prune columns and rows.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

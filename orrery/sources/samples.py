@@ -7,9 +7,11 @@ They are what the registered queries, the tests and the benchmark read.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.functions.dates import month_offset, month_start
 from orrery.functions.ratios import money
@@ -17,6 +19,7 @@ from orrery.operators.first_rows import ROW_ORDER
 from orrery.plans.agency_model import build_dim_date_agency
 from orrery.plans.retail_model import build_dim_date
 from orrery.schemas import RETAIL_RAW
+from orrery.session import materialize
 from orrery.sources.raw import normalize
 
 SOURCES = ("Google Ads", "Facebook Ads", "Organic Search", "Direct", "Email", "Referral")
@@ -29,8 +32,15 @@ MANAGERS = 7
 CAMPAIGN_CLIENTS = 150
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    # The schema is looked up once: inferring it costs a job per read.
+    path = f"{root}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _pick(values: tuple[str, ...], key: Column) -> Column:
@@ -311,9 +321,20 @@ def retail_raw_text(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: view(spark, root) for name, view in RAW_VIEWS.items()}
 
 
+@cache
+def _landed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    text = RAW_VIEWS[name](spark, root)
+    return materialize(text.repartition(spark.sparkContext.defaultParallelism), f"landed-{name}")
+
+
 def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One dirty raw table after no-value tokens are nulled and numbers typed."""
-    return normalize(RAW_VIEWS[name](spark, root), RETAIL_RAW[name])
+    """One dirty raw table after no-value tokens are nulled and numbers typed.
+
+    The text is landed in the scratch folder once per session, as raw data would
+    be, so that the cleansing rules filter stored columns instead of the
+    expressions that spell them.
+    """
+    return normalize(_landed(spark, root, name), RETAIL_RAW[name])
 
 
 def retail_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
