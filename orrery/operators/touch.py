@@ -7,22 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def rank_daily_sessions(traffic: DataFrame) -> DataFrame:
-    """Sessions with their rank in the customer's day: longest, then most pages, then lowest id."""
-    day = W.partitionBy("customer_id", "session_date").orderBy(
-        F.desc("duration_seconds"), F.desc("pages_viewed"), F.asc("session_id")
-    )
-    return traffic.withColumn("session_rank", F.row_number().over(day))
-
-
 def best_daily_sessions(traffic: DataFrame) -> DataFrame:
-    """The rank-1 session of each customer and day.
+    """The best session of each customer and day: longest, then most pages, then lowest id.
 
     The rank filter becomes a group limit ahead of the shuffle: each map task
     sends one row per (customer, day), so a day with very many sessions is
     reduced where it is read.
     """
-    return rank_daily_sessions(traffic).filter("session_rank = 1").drop("session_rank")
+    day = W.partitionBy("customer_id", "session_date").orderBy(
+        F.desc("duration_seconds"), F.desc("pages_viewed"), F.asc("session_id")
+    )
+    ranked = traffic.withColumn("session_rank", F.row_number().over(day))
+    return ranked.filter("session_rank = 1").drop("session_rank")
 
 
 def attribute_sales(sales: DataFrame, traffic: DataFrame) -> DataFrame:

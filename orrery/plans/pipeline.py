@@ -3,20 +3,31 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from orrery.plans.agency_model import build_agency_galaxy
+from orrery.operators.rejects import reject_counts, rejected_rows
+from orrery.plans.agency_model import build_agency_galaxy, build_dim_date_agency
 from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
 from orrery.plans.attribution import attribution
-from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, run_checks, verdict
-from orrery.plans.retail_model import DEFAULT_EMAIL, build_retail_galaxy
+from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, Check, run_checks, verdict
+from orrery.plans.retail_model import (
+    DEFAULT_EMAIL,
+    SEQ,
+    build_dim_customers,
+    build_dim_date,
+    build_dim_products,
+    build_fact_sales,
+    build_fact_web_traffic,
+    tag_retail_raw,
+)
 from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_segmentation
 from orrery.schemas import AGENCY, RETAIL
 from orrery.sources.raw import read_agency_raw, read_retail_raw
-from orrery.sources.sinks import open_tables, publish, run_named, save_check_report, to_layout
+from orrery.sources.sinks import export_csv, open_tables, publish, run_named, save_check_report, to_layout
 
 log = logging.getLogger(__name__)
 
@@ -51,14 +62,70 @@ def agency_queries(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[], Da
     }
 
 
-def _finish(spark, galaxy, layouts, checks, queries, out, rename, on_fail) -> bool:
-    typed = {name: to_layout(df, layouts[name]) for name, df in galaxy.items()}
-    # Everything after this reads the published files: lineage ends here, and no
-    # consumer repeats the cleansing.
-    publish(typed, f"{out}/warehouse", rename)
-    stored = open_tables(spark, f"{out}/warehouse", [rename.get(n, n) for n in typed])
-    tables = {name: stored[rename.get(name, name)] for name in typed}
-    save_check_report(run_checks(tables, checks), f"{out}/validation_report")
+def _store(
+    tables: Mapping[str, DataFrame],
+    layouts: Mapping[str, T.StructType],
+    root: str,
+    rename: Mapping[str, str] = {},
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Publish tables in their declared layout and open the stored copies."""
+    typed = {name: to_layout(df, layouts[name]) for name, df in tables.items()}
+    loaded = publish(typed, root, rename)
+    stored = open_tables(loaded.sparkSession, root, [rename.get(n, n) for n in typed])
+    return {name: stored[rename.get(name, name)] for name in typed}, loaded
+
+
+def store_retail(
+    raw: Mapping[str, DataFrame], root: str, order: Sequence[str] = SEQ, default_email: str = DEFAULT_EMAIL
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Build and publish the retail galaxy in three steps: dimensions, facts, calendar.
+
+    Each step reads the stored result of the one before: customers are
+    deduplicated once although both facts need them, and the calendar takes its
+    bounds from stored facts instead of building them a second time.
+    """
+    dims, loaded_dims = _store(
+        {
+            "dim_customers": build_dim_customers(raw["customers"], order, default_email),
+            "dim_products": build_dim_products(raw["products"]),
+        },
+        RETAIL, root,
+    )
+    customers, products = dims["dim_customers"], dims["dim_products"]
+    facts, loaded_facts = _store(
+        {
+            "fact_sales": build_fact_sales(raw["orders"], raw["order_items"], products, customers, order),
+            "fact_web_traffic": build_fact_web_traffic(raw["sessions"], customers),
+        },
+        RETAIL, root,
+    )
+    dates, loaded_dates = _store(
+        {"dim_date": build_dim_date(customers, facts["fact_sales"], facts["fact_web_traffic"])}, RETAIL, root
+    )
+    return {**dims, **facts, **dates}, loaded_dims.unionAll(loaded_facts).unionAll(loaded_dates)
+
+
+def store_agency(raw: Mapping[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Build and publish the agency galaxy; the calendar comes from the stored ad performance."""
+    galaxy = build_agency_galaxy(dict(raw))
+    galaxy.pop("dim_date")
+    tables, loaded = _store(galaxy, AGENCY, root)
+    dates, loaded_dates = _store(
+        {"dim_date": build_dim_date_agency(tables["fact_ad_performance"])}, AGENCY, root, AGENCY_RENAMES
+    )
+    return {**tables, **dates}, loaded.unionAll(loaded_dates)
+
+
+def _check_and_report(
+    tables: dict[str, DataFrame],
+    checks: Sequence[Check],
+    queries: Callable[[Mapping[str, DataFrame]], dict[str, Callable[[], DataFrame]]],
+    out: str,
+    on_fail: str,
+) -> bool:
+    report = run_checks(tables, checks)
+    spark = report.sparkSession
+    save_check_report(report, f"{out}/validation_report")
     report = spark.read.option("header", True).csv(f"{out}/validation_report")
     repeated = report.filter("status = 'FAILED' and test_name like 'Uniqueness%'").collect()
     if repeated:
@@ -73,15 +140,34 @@ def _finish(spark, galaxy, layouts, checks, queries, out, rename, on_fail) -> bo
     return bool(result["all_passed"])
 
 
+def quarantine_retail(raw: dict[str, DataFrame], out: str, order: Sequence[str] = SEQ) -> DataFrame:
+    """Store the rejected rows of every raw table with their reason; returns the counts per rule."""
+    tagged = tag_retail_raw(raw, order)
+    publish({name: rejected_rows(df).drop(*order) for name, df in tagged.items()}, out, layouts={})
+    return reject_counts(**tagged)
+
+
 def run_retail(
-    spark: SparkSession, raw: str, out: str, on_fail: str = "warn", default_email: str = DEFAULT_EMAIL
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    on_fail: str = "warn",
+    default_email: str = DEFAULT_EMAIL,
+    quarantine: bool = False,
 ) -> bool:
-    """Raw retail files to warehouse, validation report and results; True when all checks passed."""
-    galaxy = build_retail_galaxy(read_retail_raw(spark, raw), default_email=default_email)
-    return _finish(spark, galaxy, RETAIL, RETAIL_CHECKS, retail_queries, out, {}, on_fail)
+    """Raw retail files to warehouse, validation report and results; True when all checks passed.
+
+    ``quarantine`` also stores the rejected rows and their counts per rule, which
+    reads the raw files once more.
+    """
+    tables = read_retail_raw(spark, raw)
+    if quarantine:
+        export_csv(quarantine_retail(tables, f"{out}/quarantine"), f"{out}/reject_counts")
+    stored, _ = store_retail(tables, f"{out}/warehouse", default_email=default_email)
+    return _check_and_report(stored, RETAIL_CHECKS, retail_queries, out, on_fail)
 
 
 def run_agency(spark: SparkSession, raw: str, out: str, on_fail: str = "warn") -> bool:
     """Raw agency files to warehouse, validation report and results; True when all checks passed."""
-    galaxy = build_agency_galaxy(read_agency_raw(spark, raw))
-    return _finish(spark, galaxy, AGENCY, AGENCY_CHECKS, agency_queries, out, AGENCY_RENAMES, on_fail)
+    stored, _ = store_agency(read_agency_raw(spark, raw), f"{out}/warehouse")
+    return _check_and_report(stored, AGENCY_CHECKS, agency_queries, out, on_fail)

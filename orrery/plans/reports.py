@@ -21,24 +21,29 @@ RFM_SCORES = (1, 2, 3, 4, 5)
 def category_drilldown(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue and lifetime value by category, product and country, with all subtotals.
 
-    ``depth`` is 0 for the grand total, 1 for categories, 2 for products; a null
-    ``country`` with ``all_countries = 1`` is the total over countries. Sales are
-    reduced to (product, customer) pairs before the joins, and every level
-    recounts its customers from those pairs.
+    ``depth`` is 0 for the grand total, 1 for categories, 2 for products; a row
+    with ``all_countries = 1`` is the total over countries. Sales are reduced to
+    (product, customer) pairs before the joins. Customers are recounted at every
+    product level, because one customer buys many products; over countries the
+    counts add up, because the customer key is unique and has one country.
     """
     pairs = sales.groupBy("product_id", "customer_id").agg(F.sum("line_subtotal").alias("revenue"))
     described = pairs.join(products.select("product_id", "category", "product_name"), "product_id").join(
         customers.select("customer_id", "country"), "customer_id"
     )
     category, product, country = F.col("category"), F.col("product_name"), F.col("country")
-    sets = [
-        [category, product, country], [category, product], [category, country], [category], [country], [],
-    ]
-    return described.groupingSets(sets, category, product, country).agg(
-        (2 - F.grouping(category) - F.grouping(product)).alias("depth"),
+    levels = described.groupingSets([[category, product, country], [category, country], [country]],
+                                    category, product, country).agg(
+        (2 - F.grouping(category) - F.grouping(product)).cast("int").alias("depth"),
+        F.sum("revenue").alias("revenue"),
+        F.count_distinct("customer_id").alias("buyers"),
+    )
+    depth = F.col("depth")
+    return levels.groupingSets([[depth, category, product, country], [depth, category, product]],
+                               depth, category, product, country).agg(
         F.grouping(country).cast("int").alias("all_countries"),
         F.sum("revenue").cast("double").alias("total_revenue"),
-        ratio_or_zero(F.sum("revenue"), F.count_distinct("customer_id")).alias("customer_lifetime_value"),
+        ratio_or_zero(F.sum("revenue"), F.sum("buyers")).alias("customer_lifetime_value"),
     )
 
 

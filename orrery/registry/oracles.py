@@ -714,7 +714,6 @@ _SELECTS = {
                     else 'Lost / Inactive' end as rfm_segment
         from scored join dim_customers using (customer_id)""",
     "retention_cohorts": COHORTS,
-    "ranked_sessions": "select session_id, session_rank from ranked",
     "best_sessions": f"""
         select session_id, customer_id, {DATES_OUT.format(c='session_date')}, traffic_source, device_type,
                cast(pages_viewed as bigint) as pages_viewed, cast(duration_seconds as bigint) as duration_seconds
@@ -853,6 +852,7 @@ _SELECTS = {
         from ads group by ads.campaign_id""",
     "published_retail": M_COUNTS.format(n="rows_loaded"),
     "published_agency": A_LOADED,
+    "quarantined_rows": f"select table_name, reject_reason, count(*) as row_count from ({REASONS}) group by 1, 2",
     "appended_billing": """
         select strftime(invoice_date, '%Y-%m-%d') as invoice_date, 2 * count(*) as n_invoices,
                cast(2 * sum(total_billing_amount) as double) as total_billing

@@ -20,15 +20,20 @@ from orrery.functions.text import (
 from orrery.operators.first_rows import ROW_ORDER, keep_first
 from orrery.operators.membership import keep_referenced
 from orrery.operators.rejects import clean_rows, reject_counts, rejected_rows
-from orrery.operators.touch import attribute_sales, best_daily_sessions, rank_daily_sessions
+from orrery.operators.touch import attribute_sales, best_daily_sessions
 from orrery.plans import agency_model, measures, reports, retail_model
 from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
 from orrery.plans.attribution import MONTH, attribution
 from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, run_checks, verdict
-from orrery.plans.pipeline import AGENCY_RENAMES, retail_queries
+from orrery.plans.pipeline import (
+    AGENCY_RENAMES,
+    quarantine_retail,
+    retail_queries,
+    store_agency,
+    store_retail,
+)
 from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_scores, rfm_segmentation
-from orrery.schemas import AGENCY, RETAIL
 from orrery.session import scratch_path
 from orrery.sources import samples
 from orrery.sources.raw import read_agency_raw, read_retail_raw, row_counts
@@ -41,7 +46,6 @@ from orrery.sources.sinks import (
     save_as_tables,
     save_attribution_view,
     save_check_report,
-    to_layout,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,10 +219,6 @@ def retention_cohorts(spark, root):
     return cohort_retention(samples.fact_sales(spark, root))
 
 
-def ranked_sessions(spark, root):
-    return rank_daily_sessions(samples.fact_web_traffic(spark, root)).select("session_id", "session_rank")
-
-
 def best_sessions(spark, root):
     return best_daily_sessions(samples.fact_web_traffic(spark, root)).drop("bounced", "converted")
 
@@ -259,12 +259,13 @@ def client_billing_cohorts(spark, root):
 # -- measures -------------------------------------------------------------------------
 
 def sales_kpis_total(spark, root):
-    return measures.evaluate(samples.fact_sales(spark, root), measures.SALES)
+    return measures.evaluate(measures.order_totals(samples.fact_sales(spark, root)), measures.SALES)
 
 
 def sales_kpis_by_status(spark, root):
     sales = samples.fact_sales(spark, root).withColumn("order_year", F.year("order_date"))
-    return measures.evaluate(sales, measures.SALES, ["order_year", "status"])
+    by = ["order_year", "status"]
+    return measures.evaluate(measures.order_totals(sales, by), measures.SALES, by)
 
 
 def conversion_by_day(spark, root):
@@ -447,14 +448,16 @@ def agency_csv_scan(spark, root):
 
 
 def published_retail(spark, root):
-    typed = {name: to_layout(df, RETAIL[name]) for name, df in _galaxy(spark, root).items()}
-    return publish(typed, scratch_path(spark, "warehouse"))
+    return store_retail(samples.retail_raw(spark, root), scratch_path(spark, "warehouse"))[1]
 
 
 def published_agency(spark, root):
-    galaxy = agency_model.build_agency_galaxy(samples.agency_raw(spark, root))
-    typed = {name: to_layout(df, AGENCY[name]) for name, df in galaxy.items()}
-    return publish(typed, scratch_path(spark, "warehouse"), AGENCY_RENAMES)
+    return store_agency(samples.agency_raw(spark, root), scratch_path(spark, "warehouse"))[1]
+
+
+def quarantined_rows(spark, root):
+    """Rejected rows stored per raw table, and the counts that account for every raw row."""
+    return quarantine_retail(samples.retail_raw(spark, root), scratch_path(spark, "quarantine"))
 
 
 def appended_billing(spark, root):
@@ -508,7 +511,7 @@ _LISTED = (
     model_products, model_customers, model_sales, model_traffic, model_calendar, model_row_counts,
     signup_month_index, agency_clients, agency_managers, agency_calendar, agency_row_counts,
     expected_daily_spend, monthly_invoices,
-    rfm_segments, retention_cohorts, ranked_sessions, best_sessions, attributed_sales,
+    rfm_segments, retention_cohorts, best_sessions, attributed_sales,
     channel_attribution, channel_attribution_full, manager_leaderboard, channel_grid, client_billing_cohorts,
     sales_kpis_total, sales_kpis_by_status, conversion_by_day, conversion_total, revenue_growth,
     signup_cohort_retention, signup_cohort_retention_by_status, ad_kpis_by_channel, billing_kpis_by_manager,
@@ -518,7 +521,8 @@ _LISTED = (
     category_share, actual_vs_target, sliced_portfolio,
     retail_checks, retail_checks_on_faults, agency_checks, agency_checks_on_faults, agency_verdict,
     check_report_file,
-    retail_csv_scan, retail_csv_model, agency_csv_scan, published_retail, published_agency, appended_billing,
+    retail_csv_scan, retail_csv_model, agency_csv_scan, published_retail, published_agency, quarantined_rows,
+    appended_billing,
     exported_traffic, named_query_results, warehouse_tables, attribution_view,
 )
 

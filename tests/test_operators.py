@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import Window as W
@@ -14,6 +15,7 @@ from orrery.operators.grids import daily_grid, monthly_grid
 from orrery.operators.membership import flag_referenced, keep_referenced
 from orrery.operators.tiles import Tile, with_tiles
 from orrery.operators.touch import attribute_sales, best_daily_sessions
+from orrery.plans.retail_model import build_fact_sales
 
 
 def _plan(df) -> str:
@@ -118,8 +120,9 @@ def test_sales_without_a_session_are_unattributed(spark):
     assert got == {1: ("Direct", "Tablet"), 2: unattributed, 3: unattributed}
 
 
-def test_a_hot_customer_day_is_split_by_adaptive_execution(spark):
-    """A third of the sales sits on one (customer, day); its join partition must be split."""
+@contextmanager
+def _tiny_skew_limits(spark):
+    """Settings under which kilobytes count as a skewed partition and nothing is broadcast."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -129,9 +132,23 @@ def test_a_hot_customer_day_is_split_by_adaptive_execution(spark):
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _ran_with_split(df, n_rows) -> bool:
+    assert len(df.collect()) == n_rows
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_customer_day_is_split(spark):
+    """A third of the sales sits on one (customer, day); its join partition must be split."""
+    with _tiny_skew_limits(spark):
         keys = "case when id % 3 = 0 then 'hot' else concat('c', id % 5000) end as customer_id"
         sales = spark.range(0, 60000, 1, 8).selectExpr(
             "id as order_id", keys, "date'2024-01-01' as order_date", "cast(id as string) as note"
@@ -140,14 +157,27 @@ def test_a_hot_customer_day_is_split_by_adaptive_execution(spark):
             "id as session_id", keys, "date'2024-01-01' as session_date", "id % 50 as duration_seconds",
             "id % 7 as pages_viewed", "'Email' as traffic_source", "'Mobile' as device_type",
         )
-        joined = attribute_sales(sales, traffic)
-        rows = joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert len(rows) == 60000
-        assert "skew=true" in plan
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        assert _ran_with_split(attribute_sales(sales, traffic), 60000)
+
+
+@pytest.mark.parametrize("hot", ["order_id", "product_id", "customer_id"])
+def test_a_hot_key_in_the_sales_model_is_split(spark, hot):
+    """A third of the lines in one order, on one product, or a third of the orders of one customer."""
+    def key(name, values):
+        return f"case when '{hot}' = '{name}' and id % 3 = 0 then 0 else id % {values} end"
+
+    with _tiny_skew_limits(spark):
+        items = spark.range(0, 60000, 1, 8).selectExpr(
+            "cast(id as string) as order_item_id", f"{key('order_id', 30000)} as order_id",
+            f"{key('product_id', 500)} as product_id", "1 as quantity", "cast(2 as decimal(18,2)) as unit_price",
+        )
+        orders = spark.range(0, 30000, 1, 8).selectExpr(
+            "id as order_id", f"{key('customer_id', 5000)} as customer_id", "'2024-01-01' as order_date",
+            "repeat(cast(id as string), 5) as status", "cast(1 as decimal(18,2)) as shipping_fee", "id as _row_order",
+        )
+        customers = spark.range(5000).selectExpr("id as customer_id", "date'2024-01-01' as signup_date")
+        products = spark.range(500).selectExpr("id as product_id")
+        assert _ran_with_split(build_fact_sales(orders, items, products, customers), 60000)
 
 
 def test_grids(spark):

@@ -59,7 +59,11 @@ def test_retail_run(spark, sample_dir, tmp_path):
         df = df.dropDuplicates(["order_item_id"]) if name == "order_items" else df
         _csv(df, tmp_path / "raw" / f"{name}_raw.csv")
     out = tmp_path / "out"
-    assert run_retail(spark, str(tmp_path / "raw"), str(out), on_fail="raise")
+    assert run_retail(spark, str(tmp_path / "raw"), str(out), on_fail="raise", quarantine=True)
+    counts = spark.read.option("header", True).csv(str(out / "reject_counts")).filter("table_name = 'orders'")
+    lost = {r.reject_reason: int(r.row_count) for r in counts.collect()}
+    assert lost.pop("clean") > 0
+    assert spark.read.parquet(str(out / "quarantine" / "orders")).count() == sum(lost.values()) > 0
     report = spark.read.option("header", True).csv(str(out / "validation_report"))
     assert report.count() == 23 and report.filter("status <> 'PASSED'").count() == 0
     for name in ("cohort_retention", "rfm_segmentation", "attribution_analysis"):
