@@ -57,7 +57,6 @@ def tile_cuts(df: DataFrame, key: str, tiles: Sequence[Tile], n_tiles: int) -> d
     partition and ordering) and the cut rows themselves (``n_tiles - 1`` per
     ordering).
     """
-    spark = df.sparkSession
     value_type = _common_type(df, tiles)
     names = ["null_rank", "value", "key_rank", "ident"]
     orderings = [
@@ -66,9 +65,8 @@ def tile_cuts(df: DataFrame, key: str, tiles: Sequence[Tile], n_tiles: int) -> d
     ]
     stacked = df.select(F.inline(F.array(*orderings)))
     sort = ["ordering", *names]
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
-        stacked.repartitionByRange(n_parts, *sort)
+        stacked.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .withColumn("place", F.monotonically_increasing_id()),
         "tiles",

@@ -383,7 +383,12 @@ def actual_vs_target(spark, root):
 
 
 def sliced_portfolio(spark, root):
-    t = reports.slice_agency(samples.agency(spark, root), regions=SLICE_REGIONS, industries=("FURNITURE", "MACHINERY"), between=SLICE_DATES)
+    t = reports.slice_agency(
+        samples.agency(spark, root),
+        regions=SLICE_REGIONS,
+        industries=("FURNITURE", "MACHINERY"),
+        between=SLICE_DATES,
+    )
     return manager_portfolio(
         t["dim_account_managers"], t["dim_clients"], t["fact_client_billing"], t["fact_ad_performance"]
     )

@@ -52,14 +52,16 @@ def write_table(df: DataFrame, path: str, layout: Layout | None = None, mode: st
     """
     spark = df.sparkSession
     before = _stored_rows(spark, path) if mode == "append" else 0
+    if layout is not None:
+        df = df.withColumn(layout.partition, month_start(F.col(layout.month_of)))
+        df = df.hint("rebalance", layout.partition)
+    # Observed behind the last shuffle: tasks there count once even if an executor
+    # is lost, while repeated map tasks would be counted twice.
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    if layout is None:
-        counted.write.mode(mode).parquet(path)
-    else:
-        parted = counted.withColumn(layout.partition, month_start(F.col(layout.month_of)))
-        parted = parted.hint("rebalance", layout.partition)
-        parted.write.mode(mode).partitionBy(layout.partition).parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    if layout is not None:
+        writer = writer.partitionBy(layout.partition)
+    writer.parquet(path)
     written, stored = seen.get["n"], _stored_rows(spark, path) - before
     if written != stored:
         raise RowCountMismatch(f"{path}: {written} rows sent, {stored} stored")
