@@ -27,7 +27,15 @@ from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_segmentation
 from orrery.schemas import AGENCY, RETAIL
 from orrery.sources.raw import read_agency_raw, read_retail_raw
-from orrery.sources.sinks import export_csv, open_tables, publish, run_named, save_check_report, to_layout
+from orrery.sources.sinks import (
+    FACT_LAYOUTS,
+    export_csv,
+    open_tables,
+    publish,
+    run_named,
+    save_check_report,
+    to_layout,
+)
 
 log = logging.getLogger(__name__)
 
@@ -66,17 +74,23 @@ def _store(
     tables: Mapping[str, DataFrame],
     layouts: Mapping[str, T.StructType],
     root: str,
+    by_month: bool,
     rename: Mapping[str, str] = {},
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Publish tables in their declared layout and open the stored copies."""
     typed = {name: to_layout(df, layouts[name]) for name, df in tables.items()}
-    loaded = publish(typed, root, rename)
-    stored = open_tables(loaded.sparkSession, root, [rename.get(n, n) for n in typed])
+    loaded = publish(typed, root, rename, FACT_LAYOUTS if by_month else {})
+    schemas = {rename.get(name, name): df.schema for name, df in typed.items()}
+    stored = open_tables(loaded.sparkSession, root, list(schemas), schemas)
     return {name: stored[rename.get(name, name)] for name in typed}, loaded
 
 
 def store_retail(
-    raw: Mapping[str, DataFrame], root: str, order: Sequence[str] = SEQ, default_email: str = DEFAULT_EMAIL
+    raw: Mapping[str, DataFrame],
+    root: str,
+    order: Sequence[str] = SEQ,
+    default_email: str = DEFAULT_EMAIL,
+    by_month: bool = True,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build and publish the retail galaxy in three steps: dimensions, facts, calendar.
 
@@ -89,7 +103,7 @@ def store_retail(
             "dim_customers": build_dim_customers(raw["customers"], order, default_email),
             "dim_products": build_dim_products(raw["products"]),
         },
-        RETAIL, root,
+        RETAIL, root, by_month,
     )
     customers, products = dims["dim_customers"], dims["dim_products"]
     facts, loaded_facts = _store(
@@ -97,21 +111,24 @@ def store_retail(
             "fact_sales": build_fact_sales(raw["orders"], raw["order_items"], products, customers, order),
             "fact_web_traffic": build_fact_web_traffic(raw["sessions"], customers),
         },
-        RETAIL, root,
+        RETAIL, root, by_month,
     )
     dates, loaded_dates = _store(
-        {"dim_date": build_dim_date(customers, facts["fact_sales"], facts["fact_web_traffic"])}, RETAIL, root
+        {"dim_date": build_dim_date(customers, facts["fact_sales"], facts["fact_web_traffic"])},
+        RETAIL, root, by_month,
     )
     return {**dims, **facts, **dates}, loaded_dims.unionAll(loaded_facts).unionAll(loaded_dates)
 
 
-def store_agency(raw: Mapping[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+def store_agency(
+    raw: Mapping[str, DataFrame], root: str, by_month: bool = True
+) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build and publish the agency galaxy; the calendar comes from the stored ad performance."""
     galaxy = build_agency_galaxy(dict(raw))
     galaxy.pop("dim_date")
-    tables, loaded = _store(galaxy, AGENCY, root)
+    tables, loaded = _store(galaxy, AGENCY, root, by_month)
     dates, loaded_dates = _store(
-        {"dim_date": build_dim_date_agency(tables["fact_ad_performance"])}, AGENCY, root, AGENCY_RENAMES
+        {"dim_date": build_dim_date_agency(tables["fact_ad_performance"])}, AGENCY, root, by_month, AGENCY_RENAMES
     )
     return {**tables, **dates}, loaded.unionAll(loaded_dates)
 
@@ -154,20 +171,24 @@ def run_retail(
     on_fail: str = "warn",
     default_email: str = DEFAULT_EMAIL,
     quarantine: bool = False,
+    by_month: bool = True,
 ) -> bool:
     """Raw retail files to warehouse, validation report and results; True when all checks passed.
 
     ``quarantine`` also stores the rejected rows and their counts per rule, which
-    reads the raw files once more.
+    reads the raw files once more. ``by_month`` splits the facts into a folder per
+    month; turn it off when a month is much smaller than a file should be.
     """
     tables = read_retail_raw(spark, raw)
     if quarantine:
         export_csv(quarantine_retail(tables, f"{out}/quarantine"), f"{out}/reject_counts")
-    stored, _ = store_retail(tables, f"{out}/warehouse", default_email=default_email)
+    stored, _ = store_retail(tables, f"{out}/warehouse", default_email=default_email, by_month=by_month)
     return _check_and_report(stored, RETAIL_CHECKS, retail_queries, out, on_fail)
 
 
-def run_agency(spark: SparkSession, raw: str, out: str, on_fail: str = "warn") -> bool:
+def run_agency(
+    spark: SparkSession, raw: str, out: str, on_fail: str = "warn", by_month: bool = True
+) -> bool:
     """Raw agency files to warehouse, validation report and results; True when all checks passed."""
-    stored, _ = store_agency(read_agency_raw(spark, raw), f"{out}/warehouse")
+    stored, _ = store_agency(read_agency_raw(spark, raw), f"{out}/warehouse", by_month)
     return _check_and_report(stored, AGENCY_CHECKS, agency_queries, out, on_fail)
