@@ -16,6 +16,7 @@ from orrery.operators.membership import flag_referenced, keep_referenced
 from orrery.operators.tiles import Tile, with_tiles
 from orrery.operators.touch import attribute_sales, best_daily_sessions
 from orrery.plans.retail_model import build_fact_sales
+from orrery.session import materialize
 
 
 def _plan(df) -> str:
@@ -81,6 +82,26 @@ def test_tiles_never_gather_the_table(spark):
     assert "SinglePartition" not in plan and "Window" not in plan
 
 
+def test_ties_spread_over_the_ranking_partitions(spark, monkeypatch):
+    """All rows share one metric value; the unique key must still split them evenly."""
+    placed = []
+
+    def keep(df, name):
+        placed.append(materialize(df, name))
+        return placed[-1]
+
+    monkeypatch.setattr("orrery.operators.tiles.materialize", keep)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(80000).selectExpr("id", "1 as v")
+        tiles = with_tiles(df, "id", [Tile("t", "v")], 5).groupBy("t").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(tuple(r) for r in tiles) == [(t, 16000) for t in range(1, 6)]
+    sizes = [r["count"] for r in placed[0].groupBy(F.shiftright("place", 33)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 20000
+
+
 def test_monthly_cohorts(spark):
     d = dt.date
     rows = [
