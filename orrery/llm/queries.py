@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fertility, language, quality, urls
+from ..session import materialize
+from . import bpe, fertility, language, mixing, neighbours, quality, urls
 from .tables import fold, table
 
 #: The host and path rules of the URL query.
@@ -38,6 +39,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = materialize(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mixing-sizes")
+    taken = F.col("size") * F.size("copies")
+    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.transform("copies", lambda c: c["shard"]).alias("shards"))
+
+
 def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_rules(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -46,12 +54,18 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op5_quality": op5_quality,
+    "op6_mixing": op6_mixing,
     "op7_fertility": op7_fertility,
     "op9_urls": op9_urls,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLES: dict[str, str] = {}
