@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bpe, fertility, language, mixing, neighbours, quality, urls
+from . import bpe, fertility, jaccard, language, mixing, neighbours, quality, substrings, urls
 from .tables import fold, table
 
 #: The host and path rules of the URL query.
@@ -22,6 +22,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs, fold("doc_id", 3) != 1)
@@ -32,6 +36,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_encode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), digest=True)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
@@ -59,8 +67,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": op1_jaccard,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
+    "op4_substrings": op4_substrings,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_fertility": op7_fertility,
