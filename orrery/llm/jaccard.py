@@ -1,15 +1,15 @@
 """N-gram Jaccard join: a token-group matrix over documents' sets of word shingles.
 
 Exact copies become one set first. The number of documents that hold each shingle is found for all shingles; a set's
-rarest shingles (as many as one of them must be in any partner) lead to the sets that share one, and sets connected
-that way form a group. The group's matrix row is kept as the shingles of its most typical member, the hub, and each
-member's differences from it, which together are the union of the group's shingles with their counts.
+rarest shingles (as many as one of them must be in any partner) are its keys. Sets that share their most common key form
+a group, stored as the shingles of its most typical member, the hub, and the most that a member has beside them: a bound
+of the group's union. Members that reach the threshold with the hub are linked to it and stay in the group; the others
+are grouped anew, some rounds long, and then stand alone.
 
-Members that reach the threshold with the hub are linked to it and need no more comparison: a member whose differences
-overlap nobody's can't be linked to any other member if it is not linked to the hub. For the others the matrix bounds
-the overlap (shingles shared with the hub, and own ones that some other member has). Only members whose bound reaches
-the threshold are opened: they are compared with the members that share a difference, exactly. The links connect the
-same documents as all pairs would; links that only repeat a connection through a hub are not listed.
+A set meets the other groups that share a key with it. What it has in common with the hub, and the group's most beside
+it, bound its overlap with any member. Only groups whose bound reaches the threshold are opened: the set is compared
+with the members that share a key with it, exactly. Within a group no pairs are made. The links found connect the same
+documents as all pairs would; links that only repeat a connection through a hub are not listed.
 
 Shingles are 64-bit hashes. A text of fewer words than ``width`` is one shingle; texts without words have an empty set
 and no links. Rows with equal keys and different texts are separate texts of one id. Rows with a null key have a null
@@ -155,88 +155,78 @@ def _send_prefixes(layout: Layout, width: int, percent: int):
 
 
 SETS = "sig long, n long, lone long, prefix array<long>, tokens binary"
-COMPARED = "group long, sig long, n long, hub long, linked boolean, missing array<long>, extra array<long>"
+LINKED = "a long, b long, common long, linked boolean"
 
 
 def _compare(pairs: DataFrame, percent: int) -> DataFrame:
-    """Each member against its hub: linked or not, the hub's shingles it lacks, and its own that the hub lacks."""
+    """Shared shingles of the sets ``a`` and ``b``, and whether they are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, held = None, np.zeros(0, np.uint64)
+        last, held = None, np.zeros(0, np.uint64)
         for batch in batches:
-            linked, missing, extra = [], [], []
-            for h, ht, mt in zip(*(batch.column(c).to_pylist() for c in ("hub", "hub_tokens", "tokens"))):
-                if h != hub:
-                    hub, held = h, np.frombuffer(ht, np.uint64)
-                own = np.frombuffer(mt, np.uint64)
-                lost, new = (x[lookup_sorted(y, x) < 0] for x, y in ((held, own), (own, held)))
-                common = len(own) - len(new)
-                linked.append(100 * common >= percent * (len(own) + len(lost)))
-                missing.append(lost.view(np.int64))
-                extra.append(new.view(np.int64))
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("group", "sig", "n", "hub")), pa.array(linked, pa.bool_()), pa.array(missing, kind), pa.array(extra, kind)],
-                ["group", "sig", "n", "hub", "linked", "missing", "extra"],
-            )
-
-    return pairs.select("group", "sig", "n", "hub", "hub_tokens", "tokens").mapInArrow(run, COMPARED)
-
-
-def lookup_sorted(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
-    return np.where(values[at] == wanted, at, -1)
-
-
-def _against_hub(members: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """``members``: ``group``, ``sig``, ``n``, ``lone``. The hub is the member with the smallest share of lone shingles."""
-    best = members.groupBy("group").agg(F.min(F.struct((F.col("lone") / F.col("n")).alias("share"), "sig")).alias("best"))
-    hubs = materialize(best.select("group", F.col("best.sig").alias("hub")).join(sets.select(F.col("sig").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub"), name + "-hubs")
-    pairs = members.join(sets.select("sig", "tokens"), "sig").join(hubs, "group")
-    return materialize(_compare(pairs, percent), name)
+            common, linked = [], []
+            for b, bt, at in zip(*(batch.column(c).to_pylist() for c in ("b", "b_tokens", "a_tokens"))):
+                if b != last:
+                    last, held = b, np.frombuffer(bt, np.uint64)
+                own = np.frombuffer(at, np.uint64)
+                at_ = np.minimum(np.searchsorted(held, own), len(held) - 1)
+                n = int((held[at_] == own).sum())
+                common.append(n)
+                linked.append(100 * n >= percent * (len(own) + len(held) - n))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(linked, pa.bool_())], ["a", "b", "common", "linked"])
+
+    return pairs.select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, LINKED)
+
+
+def _compare_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    own = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("a_tokens"))
+    held = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("b_tokens"))
+    return _compare(pairs.join(own, "a").join(held, "b"), percent)
+
+
+def _gather(lists: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """One partition of sets into groups: each joins the list with the most members among its own, and is compared with
+    the group's hub, the member with the smallest share of shingles that no other set has."""
+    size = lists.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    choice = lists.join(size, "token").groupBy("sig", "n", "lone").agg(F.max(F.struct("members", "token")).alias("best"))
+    choice = materialize(choice.select("sig", "n", "lone", F.col("best.token").alias("token")), name + "-choice")
+    hubs = choice.groupBy("token").agg(F.min(F.struct((F.col("lone") / F.col("n")).alias("share"), F.col("sig").alias("hub"))).alias("best"))
+    pairs = choice.join(hubs.select("token", F.col("best.hub").alias("hub")), "token")
+    return materialize(_compare_pairs(pairs.select(F.col("sig").alias("a"), F.col("hub").alias("b")), sets, percent), name)
 
 
 def set_links(sets: DataFrame, percent: int) -> DataFrame:
     """Edges (``a``, ``b``) between signatures that connect the same sets as all links do."""
     shared = sets.where(F.col("prefix").isNotNull())
-    lists = shared.select("sig", F.explode("prefix").alias("token"))
-    ends = lists.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low < high")
-    near = components(lists.join(ends, "token").where("sig <> low").select("sig", "low"))
-    near = materialize(near.join(shared.select("sig", "n", "lone"), near["node"] == shared["sig"]).select(F.col("root").alias("group"), "sig", "n", "lone"), "groups")
-    compared = _against_hub(near, shared, percent, "compared")
-    links = compared.where("linked and sig <> hub").select(F.col("sig").alias("a"), F.col("hub").alias("b"))
-    label = compared.where("linked").select("sig", F.col("hub").alias("label"))
-    far = compared.where("not linked").select("group", "sig")
-    if far.isEmpty():
-        return links
-    for k in range(ROUNDS):  # what is far from the hub may gather around other members
-        again = _against_hub(near.join(far, ["group", "sig"]), shared, percent, f"compared-{k}").where("linked")
-        links = links.union(again.where("sig <> hub").select("sig", "hub"))
-        label = label.union(again.select("sig", "hub"))
-        far = far.join(again.select("sig"), "sig", "left_anti").select("group", "sig")
-        far = materialize(far, "far")
-        if far.isEmpty():
+    lists = shared.select("sig", "n", "lone", F.explode("prefix").alias("token"))
+    rest, labels = lists, None
+    for k in range(ROUNDS):
+        found = _gather(rest, shared, percent, f"group-{k}").where("linked")
+        labels = found if labels is None else labels.union(found)
+        rest = rest.join(found.select(F.col("a").alias("sig")), "sig", "left_anti")
+        if found.isEmpty():
             break
-    label = materialize(label.union(far.select("sig", "sig")), "labels")
-    away = compared.where("not linked")
-    groups = away.select("group").distinct()
-    named = compared.join(groups, "group", "left_semi").join(label, "sig")
-    # the matrix: how many members differ from the hub in each shingle
-    differs = materialize(
-        named.select("group", "sig", "n", "linked", "label", (F.size("missing") + F.size("extra")).alias("d"), F.explode(F.concat(F.transform("missing", lambda t: F.struct(t.alias("token"), F.lit(False).alias("extra"))), F.transform("extra", lambda t: F.struct(t.alias("token"), F.lit(True).alias("extra"))))).alias("e"))
-        .select("group", "sig", "n", "linked", "label", "d", "e.token", "e.extra"),
-        "differences",
-    )
-    matrix = differs.groupBy("group", "token").agg(F.count("*").alias("members")).where("members > 1")
-    rows = differs.where("not linked").join(matrix, ["group", "token"], "left")
-    bound = rows.groupBy("sig").agg(F.first("n").alias("n"), F.sum(F.when(F.col("extra") & F.col("members").isNull(), 1).otherwise(0)).alias("alone"))
-    opened = bound.where(100 * (F.col("n") - F.col("alone")) >= percent * F.col("n")).select("sig")
-    x = rows.where("members is not null").join(opened, "sig").select("group", "token", F.col("sig").alias("xs"), F.col("n").alias("xn"), F.col("d").alias("xd"), F.col("label").alias("xl"))
-    y = differs.select("group", "token", F.col("sig").alias("ys"), F.col("n").alias("yn"), F.col("d").alias("yd"), F.col("label").alias("yl"))
-    pairs = x.join(y, ["group", "token"]).where("xl <> yl").groupBy("xs", "ys", "xn", "yn", "xd", "yd").agg(F.count("*").alias("common"))
-    apart = F.col("xd") + F.col("yd") - 2 * F.col("common")
-    both = F.col("xn") + F.col("yn")
-    return links.union(pairs.where(100 * (both - apart) >= percent * (both + apart)).select("xs", "ys"))
+    # the matrix: a label is a group with its hub's shingles and the most that a member has beside them
+    named = labels.select(F.col("a").alias("sig"), F.col("b").alias("label"), "common")
+    lone = lists.select("sig").distinct().join(named.select("sig"), "sig", "left_anti")
+    named = materialize(named.union(lone.select("sig", "sig", F.lit(0).cast("long"))), "labels")
+    own = F.when(F.col("sig") == F.col("label"), 0).otherwise(F.col("n") - F.col("common"))
+    extra = named.join(shared.select("sig", "n"), "sig").groupBy("label").agg(F.max(own).alias("extra"))
+    marked = materialize(lists.select("sig", "n", "token").join(named.select("sig", "label"), "sig"), "lists")
+    groups = marked.select("token", F.col("label").alias("b")).distinct()
+    meets = marked.join(groups, "token").where("label <> b").select(F.col("sig").alias("a"), "b").distinct()
+    bounds = materialize(_compare_pairs(meets, shared, percent), "bounds")
+    edges = named.where("sig <> label").select(F.col("sig").alias("a"), F.col("label").alias("b"))
+    edges = edges.union(bounds.where("linked").select("a", "b"))
+    # open a group only if what a set shares with the hub and the most a member has beside it can reach the threshold
+    closed = bounds.where("not linked").join(shared.select(F.col("sig").alias("a"), "n"), "a").join(extra.withColumnRenamed("label", "b"), "b")
+    opened = materialize(closed.where((F.col("extra") > 0) & (100 * (F.col("common") + F.col("extra")) >= percent * F.col("n"))).select("a", "b"), "opened")
+    if opened.isEmpty():
+        return edges
+    x = marked.select(F.col("sig").alias("a"), "token").join(opened.withColumnRenamed("b", "label"), "a")
+    y = marked.select(F.col("sig").alias("b"), "token", "label")
+    pairs = x.join(y, ["token", "label"]).select("a", "b").distinct()
+    return edges.union(_compare_pairs(pairs, shared, percent).where("linked").select("a", "b"))
 
 
 def jaccard_groups(docs: DataFrame, width: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
