@@ -19,11 +19,13 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 CACHE_PIECES = 400_000
+GROUP = 1024  # documents encoded together
 
 _WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # The word pattern of the vocabulary file's pre-tokenizer.
@@ -246,7 +248,7 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode_batch(bpe: WordBpe, texts: list[str | None], group: int = 1024) -> Iterator[tuple[str, str, int]]:
+def encode_batch(bpe: WordBpe, texts: list[str | None], group: int = GROUP) -> Iterator[tuple[str, str, int]]:
     """Ids as text, decoded text and number of tokens of each text, some documents at a time."""
     for k in range(0, len(texts), group):
         split = [bpe.split(t) if t else [] for t in texts[k : k + group]]
@@ -263,24 +265,23 @@ def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     input row, repeated rows included. Other columns are not read.
     """
 
+    names = ["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         gc.freeze()  # the vocabulary's many small objects are not searched again and again
         gc.set_threshold(200_000, 20, 100)
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            count, ids, decoded = [], [], []
-            for a, b, n in encode_batch(bpe, texts):
-                count.append(n)
+            for low in range(0, batch.num_rows, GROUP):
+                part = batch.slice(low, GROUP)
+                ids, decoded, count = map(list, zip(*encode_batch(bpe, part.column(text).to_pylist())))
                 if digest:
-                    ids.append(hashlib.sha256(a.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b.encode()).hexdigest())
+                    ids = pa.array([hashlib.sha256(a.encode()).hexdigest() for a in ids], pa.string())
+                    decoded = [hashlib.sha256(b.encode()).hexdigest() for b in decoded]
                 else:
-                    ids.append([int(i) for i in a.split(" ")] if a else [])
-                    decoded.append(b)
-            kind = pa.string() if digest else pa.list_(pa.int32())
-            names = ["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(count, pa.int64()), pa.array(ids, kind), pa.array(decoded, pa.string())], [key, "n_tokens", *names])
+                    flat = np.concatenate([np.fromstring(a, np.int32, sep=" ") for a in ids])
+                    ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(count, pa.int64()), ids, pa.array(decoded, pa.string())], [key, "n_tokens", *names])
 
     kind = docs.schema[key].dataType.simpleString()
     rest = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"

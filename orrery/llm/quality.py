@@ -99,15 +99,15 @@ def train(docs: DataFrame, labels: DataFrame, usable, train_rows: int = 5000, ke
     return fit(rows.column(text).to_pylist(), [int(v > 0) for v in rows.column("_label").to_pylist()])
 
 
-def quality_scores(docs: DataFrame, model: Logistic, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``key``, the columns ``keep`` and ``score`` for every row."""
+def quality_scores(docs: DataFrame, model: Logistic, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), score: str = "score") -> DataFrame:
+    """``key``, the columns ``keep`` and the score, named ``score``, for every row."""
     names = list(dict.fromkeys([key, *keep]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text):
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(model.score(part.column(text)))], [*names, "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(model.score(part.column(text)))], [*names, score])
 
     source = docs.select(*dict.fromkeys([*names, text]))
-    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in names) + ", score double"
+    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in names) + f", `{score}` double"
     return source.mapInArrow(run, schema)

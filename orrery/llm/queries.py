@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bpe, fertility, jaccard, language, mixing, neighbours, quality, substrings, urls
+from . import bpe, fertility, jaccard, language, mixing, neighbours, pii, quality, substrings, urls
 from .tables import fold, table
 
 #: The host and path rules of the URL query.
@@ -58,6 +58,11 @@ def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_rules(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.train(docs))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_fertility": op7_fertility,
+    "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_neighbours": op10_neighbours,
 }
