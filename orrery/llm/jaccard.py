@@ -4,7 +4,7 @@ Exact copies become one set first. The number of documents that hold each shingl
 rarest shingles (as many as one of them must be in any partner) are its keys. Sets that share their most common key form
 a group, stored as the shingles of its most typical member, the hub, and the most that a member has beside them: a bound
 of the group's union. Members that reach the threshold with the hub are linked to it and stay in the group; the others
-are grouped anew, some rounds long, and then stand alone.
+are grouped anew by their least common shared key, some rounds long, and then stand alone.
 
 A set meets the other groups that share a key with it. What it has in common with the hub, and the group's most beside
 it, bound its overlap with any member. Only groups whose bound reaches the threshold are opened: the set is compared
@@ -184,11 +184,12 @@ def _compare_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return _compare(pairs.join(own, "a").join(held, "b"), percent)
 
 
-def _gather(lists: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """One partition of sets into groups: each joins the list with the most members among its own, and is compared with
-    the group's hub, the member with the smallest share of shingles that no other set has."""
+def _gather(lists: DataFrame, sets: DataFrame, percent: int, name: str, common: bool) -> DataFrame:
+    """One partition of sets into groups: each joins, of the lists it shares with others, the one with the most members
+    (``common``) or the fewest, and is compared with the group's hub, the member with the smallest share of shingles
+    that no other set has."""
     size = lists.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
-    choice = lists.join(size, "token").groupBy("sig", "n", "lone").agg(F.max(F.struct("members", "token")).alias("best"))
+    choice = lists.join(size, "token").groupBy("sig", "n", "lone").agg((F.max if common else F.min)(F.struct("members", "token")).alias("best"))
     choice = materialize(choice.select("sig", "n", "lone", F.col("best.token").alias("token")), name + "-choice")
     hubs = choice.groupBy("token").agg(F.min(F.struct((F.col("lone") / F.col("n")).alias("share"), F.col("sig").alias("hub"))).alias("best"))
     pairs = choice.join(hubs.select("token", F.col("best.hub").alias("hub")), "token")
@@ -201,31 +202,42 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     lists = shared.select("sig", "n", "lone", F.explode("prefix").alias("token"))
     rest, labels = lists, None
     for k in range(ROUNDS):
-        found = _gather(rest, shared, percent, f"group-{k}").where("linked")
+        found = _gather(rest, shared, percent, f"group-{k}", k == 0).where("linked")
         labels = found if labels is None else labels.union(found)
         rest = rest.join(found.select(F.col("a").alias("sig")), "sig", "left_anti")
         if found.isEmpty():
             break
     # the matrix: a label is a group with its hub's shingles and the most that a member has beside them
-    named = labels.select(F.col("a").alias("sig"), F.col("b").alias("label"), "common")
+    named = labels.select(F.col("a").alias("sig"), F.col("b").alias("label"), "common", F.lit(False).alias("alone"))
     lone = lists.select("sig").distinct().join(named.select("sig"), "sig", "left_anti")
-    named = materialize(named.union(lone.select("sig", "sig", F.lit(0).cast("long"))), "labels")
-    own = F.when(F.col("sig") == F.col("label"), 0).otherwise(F.col("n") - F.col("common"))
-    extra = named.join(shared.select("sig", "n"), "sig").groupBy("label").agg(F.max(own).alias("extra"))
-    marked = materialize(lists.select("sig", "n", "token").join(named.select("sig", "label"), "sig"), "lists")
-    groups = marked.select("token", F.col("label").alias("b")).distinct()
-    meets = marked.join(groups, "token").where("label <> b").select(F.col("sig").alias("a"), "b").distinct()
-    bounds = materialize(_compare_pairs(meets, shared, percent), "bounds")
+    named = materialize(named.union(lone.select("sig", "sig", F.lit(None).cast("long"), F.lit(True))), "labels")
+    known = lists.join(named, "sig").withColumn("common", F.coalesce("common", "n"))
+    marked = materialize(known.select("sig", "n", "lone", "token", "label", "common", "alone"), "lists")
+    extra = marked.groupBy("label").agg(F.max(F.col("n") - F.col("common")).alias("extra"))
+    # Lone shingles are in no intersection, so of any linked two one has few of them. Two labels meet from one side only:
+    # a set that is alone looks for groups and for rich sets, of two groups the members of one look for the other.
+    miss = 100 - percent
+    rich = miss * (F.col("n") - F.col("lone")) >= 2 * percent * F.col("lone")
+    groups = marked.where(rich | ~F.col("alone")).groupBy("token", F.col("label").alias("b")).agg(F.min("lone").alias("least"), F.first("alone").alias("b_alone"))
+    room = miss * (F.col("n") - F.col("lone")) >= percent * (F.col("lone") + F.col("least"))
+    both = F.col("alone") & F.col("b_alone")
+    seeks = F.when(both, ~rich | (F.col("sig") < F.col("b"))).when(F.col("alone") | F.col("b_alone"), F.col("alone")).otherwise(F.col("label") < F.col("b"))
+    meets = marked.join(groups, "token").where((F.col("label") != F.col("b")) & room & seeks).groupBy(F.col("sig").alias("a"), "b").agg(F.first("n").alias("n"))
+    meets = materialize(meets, "meets")
+    bounds = materialize(_compare_pairs(meets.select("a", "b"), shared, percent), "bounds")
     edges = named.where("sig <> label").select(F.col("sig").alias("a"), F.col("label").alias("b"))
     edges = edges.union(bounds.where("linked").select("a", "b"))
     # open a group only if what a set shares with the hub and the most a member has beside it can reach the threshold
-    closed = bounds.where("not linked").join(shared.select(F.col("sig").alias("a"), "n"), "a").join(extra.withColumnRenamed("label", "b"), "b")
-    opened = materialize(closed.where((F.col("extra") > 0) & (100 * (F.col("common") + F.col("extra")) >= percent * F.col("n"))).select("a", "b"), "opened")
+    closed = bounds.where("not linked").select("a", "b", F.col("common").alias("with_hub")).join(meets, ["a", "b"]).join(extra.withColumnRenamed("label", "b"), "b")
+    opened = materialize(closed.where((F.col("extra") > 0) & (100 * (F.col("with_hub") + F.col("extra")) >= percent * F.col("n"))).select("a", "b", "with_hub"), "opened")
     if opened.isEmpty():
         return edges
-    x = marked.select(F.col("sig").alias("a"), "token").join(opened.withColumnRenamed("b", "label"), "a")
-    y = marked.select(F.col("sig").alias("b"), "token", "label")
-    pairs = x.join(y, ["token", "label"]).select("a", "b").distinct()
+    x = marked.select(F.col("sig").alias("a"), "n", "lone", "token").join(opened.withColumnRenamed("b", "label"), "a")
+    y = marked.where("sig <> label").select(F.col("sig").alias("b"), F.col("n").alias("yn"), F.col("lone").alias("yl"), "token", "label", "common")
+    shared_most = F.least("with_hub", "common") + F.least(F.col("n") - F.col("with_hub"), F.col("yn") - F.col("common"))
+    shared_most = F.least(shared_most, F.col("n") - F.col("lone"), F.col("yn") - F.col("yl"))
+    possible = (100 * shared_most >= percent * (F.col("n") + F.col("yn") - shared_most)) & (miss * shared_most >= percent * (F.col("lone") + F.col("yl")))
+    pairs = x.join(y, ["token", "label"]).where(possible).select("a", "b").distinct()
     return edges.union(_compare_pairs(pairs, shared, percent).where("linked").select("a", "b"))
 
 
