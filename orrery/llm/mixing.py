@@ -102,6 +102,10 @@ def _cut(rows: pd.DataFrame) -> tuple[int, list[int]]:
         if 0 < size <= rest and len(later) < LATER:
             later.append(int(place))
             rest -= size
+    over = units.iloc[head:].drop(later)
+    over = over[over > rest]
+    if len(over) and over.min() < 2 * rest:  # one more document comes nearer than stopping short
+        later.append(int(over.idxmin()))
     return (int(units.index[head - 1]) if head else -(1 << 63)), later
 
 
