@@ -88,11 +88,14 @@ def fit(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 0.5,
     if not names:
         return LanguageModel([], np.zeros((1, 0)), np.zeros(0), 1.0, 0.0)
     target = np.array([names.index(v) for v in langs])
-    slots, first = subwords(pa.array(texts, pa.string()))
     rng = np.random.default_rng(11)
     order = rng.permutation(len(texts))
     held, used = order[: len(order) // 5], order[len(order) // 5 :]
-    bags = {r: np.unique(slots[first[r] : first[r + 1]], return_counts=True) for r in used}
+    bags = []
+    for text in texts:
+        slots, _ = subwords(pa.array([text], pa.string()))
+        slot, count = np.unique(slots, return_counts=True)
+        bags.append((slot.astype(np.int32), count.astype(np.int32)))
     embed = rng.normal(0, 0.1, (1 << BITS, DIM))
     layer, bias = rng.normal(0, 0.1, (DIM, len(names))), np.zeros(len(names))
     steps, step = epochs * len(used), 0
@@ -111,7 +114,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 0.5,
             step += 1
     model = LanguageModel(names, (embed @ layer).astype(np.float64), bias, 1.0, 0.0)
     if len(held):
-        raw = model.raw(pa.array([texts[r] for r in held], pa.string()))
+        raw = np.concatenate([model.raw(pa.array([texts[r]], pa.string())) for r in held])
         loss = {t: -np.log(softmax(raw / t)[np.arange(len(held)), target[held]] + 1e-12).mean() for t in np.geomspace(0.2, 5, 33)}
         model.temperature = float(min(loss, key=loss.get))
         p = softmax(raw / model.temperature)

@@ -59,6 +59,15 @@ class Logistic:
         return 1 / (1 + np.exp(-np.clip(total[first[1:]] - total[first[:-1]] + self.intercept, -30, 30)))
 
 
+def training_features(texts: list[str | None], group: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for a training sample, some texts at a time, so that the driver holds little beside the rows."""
+    parts = [features(pa.array(texts[k : k + group], pa.string())) for k in range(0, len(texts), group)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64)
+    size = np.concatenate([np.diff(first) for _, _, first in parts])
+    return np.concatenate([s.astype(np.int32) for s, _, _ in parts]), np.concatenate([v.astype(np.float32) for _, v, _ in parts]), np.concatenate([[0], np.cumsum(size)])
+
+
 def fit(texts: list[str | None], labels: list[int], epochs: int | None = None, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02) -> Logistic:
     """Per-coordinate follow-the-regularised-leader over the rows in a fixed shuffled order.
 
@@ -67,7 +76,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int | None = None, a
     epochs = epochs or max(2, min(20, 20_000 // max(len(labels), 1)))
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_z = bias_n = bias = 0.0
-    slot, value, first = features(pa.array(texts, pa.string()))
+    slot, value, first = training_features(texts)
 
     def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
         return np.where(np.abs(z) > l1, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2), 0.0)
