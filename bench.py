@@ -64,7 +64,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     jobs = {name: partial(run, name) for name in HEADLINE}
-    jobs["agency_pipeline"] = lambda: run_agency(spark, f"{folder}/raw", f"{folder}/out", by_month=False)
+    jobs["agency_pipeline"] = lambda: run_agency(spark, f"{folder}/raw", f"{folder}/out")
     best: dict[str, float] = {}
     for _ in range(runs):
         for name, job in jobs.items():

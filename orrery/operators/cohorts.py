@@ -15,10 +15,12 @@ def monthly_cohorts(df: DataFrame, entity: str, day: str, value: str | None = No
     Rows collapse to one per (entity, month) in the first aggregation, map-side,
     so the per-entity window sees at most one row per calendar month however
     active the entity is. Everyone in a cohort is active in its month 0, hence
-    the cohort's size and starting value are its month-0 row.
+    the cohort's size and starting value are its month-0 row. Rows without an
+    entity belong to no cohort.
     """
     amount = F.sum(value) if value else F.lit(None)
-    monthly = df.groupBy(entity, month_start(F.col(day)).alias("_month")).agg(
+    known = df.filter(F.col(entity).isNotNull())
+    monthly = known.groupBy(entity, month_start(F.col(day)).alias("_month")).agg(
         F.count("*").alias("_rows"), amount.alias("_total")
     )
     started = monthly.withColumn("_start", F.min("_month").over(W.partitionBy(entity)))

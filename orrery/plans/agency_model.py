@@ -98,7 +98,7 @@ def monthly_invoices(
         "invoice_date",
         F.concat(
             F.lit("INV-"), F.date_format("invoice_date", "yyyyMM"), F.lit("-"),
-            F.right(F.col("client_id").cast("string"), F.lit(3)),
+            F.col("client_id").cast("string"),
         ).alias("invoice_id"),
         "client_id",
         F.col("primary_account_manager_id").alias("manager_id"),

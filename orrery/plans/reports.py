@@ -48,7 +48,7 @@ def category_drilldown(sales: DataFrame, products: DataFrame, customers: DataFra
 
 
 def category_by_country(sales: DataFrame, products: DataFrame, customers: DataFrame, countries: Sequence[str]) -> DataFrame:
-    """Wide matrix: one row per category, one revenue column per listed country."""
+    """Wide matrix: one row per category, one revenue column per listed country; other countries are left out."""
     pairs = sales.groupBy("product_id", "customer_id").agg(F.sum("line_subtotal").alias("revenue"))
     described = pairs.join(products.select("product_id", "category"), "product_id").join(
         customers.select("customer_id", "country"), "customer_id"
@@ -56,12 +56,13 @@ def category_by_country(sales: DataFrame, products: DataFrame, customers: DataFr
     return described.groupBy("category").pivot("country", list(countries)).agg(F.sum("revenue").cast("double"))
 
 
-def rfm_heat_grid(sales: DataFrame, scores: DataFrame) -> DataFrame:
-    """Revenue (any status) by recency score, one column per frequency score."""
+def rfm_heat_grid(sales: DataFrame, scores: DataFrame, n_tiles: int = len(RFM_SCORES)) -> DataFrame:
+    """Revenue (any status) by recency score, one column per frequency score from 1 to ``n_tiles``."""
+    columns = range(1, n_tiles + 1)
     spent = sales.groupBy("customer_id").agg(F.sum("line_subtotal").alias("revenue"))
     graded = spent.join(scores.select("customer_id", "r_score", "f_score"), "customer_id")
-    grid = graded.groupBy("r_score").pivot("f_score", list(RFM_SCORES)).agg(F.sum("revenue").cast("double"))
-    return grid.select("r_score", *[F.col(str(s)).alias(f"f_{s}") for s in RFM_SCORES])
+    grid = graded.groupBy("r_score").pivot("f_score", list(columns)).agg(F.sum("revenue").cast("double"))
+    return grid.select("r_score", *[F.col(str(s)).alias(f"f_{s}") for s in columns])
 
 
 def rfm_cell_transactions(sales: DataFrame, scores: DataFrame, r_score: int, f_score: int) -> DataFrame:
@@ -87,14 +88,16 @@ def portfolio_drilldown(
     )
     named = managers.select("manager_id", "region", "name")
     levels = (
-        named.join(owned, "manager_id")
+        named.join(owned, "manager_id", "left")
         .rollup("region", "name", "company_name")
         .agg(
             (3 - F.grouping("region") - F.grouping("name") - F.grouping("company_name")).cast("int").alias("depth"),
             F.sum("billed").alias("billed"),
             F.sum("ad_spend").alias("spend"),
             F.sum("client_conversion_revenue").alias("revenue"),
+            F.count("client_id").alias("clients"),
         )
+        .filter("depth < 3 or clients > 0")  # a manager without clients has no client row
     )
     targets = (
         managers.rollup("region", "name")
@@ -123,6 +126,11 @@ def portfolio_drilldown(
     )
 
 
+def billing_heat_cells(cohorts: DataFrame) -> DataFrame:
+    """The heat matrix in long form, for any number of months: cohort, month index and retention as a share."""
+    return cohorts.select("cohort_month", "month_index", (F.col("revenue_retention_pct") / 100.0).alias("retention"))
+
+
 def billing_heat_matrix(cohorts: DataFrame, month_indexes: Sequence[int] | None = None) -> DataFrame:
     """Revenue retention as a matrix: one row per cohort, one column per month index.
 

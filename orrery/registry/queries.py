@@ -51,12 +51,9 @@ from orrery.sources.sinks import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPEND_GRID = (dt.date(1995, 5, 20), dt.date(1995, 6, 1))
-INVOICE_MONTHS = (dt.date(1995, 1, 1), dt.date(1995, 12, 1))
 SLICE_REGIONS = ("ASIA", "EUROPE", "AFRICA")
 SLICE_DATES = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
 # The sample orders cover 1995-01 to 2001-08; fixed, so that the matrix has fixed columns.
-SAMPLE_MONTHS = 80
-COUNTRIES = tuple(f"NATION_{i}" for i in range(25))
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -206,7 +203,8 @@ def expected_daily_spend(spark, root):
 def monthly_invoices(spark, root):
     clients, campaigns = samples.dim_clients(spark, root), samples.dim_campaigns(spark, root)
     hours = F.pmod(F.col("client_id"), F.lit(36)) + 5
-    return agency_model.monthly_invoices(clients, campaigns, *INVOICE_MONTHS, hours * 150)
+    first, last = clients.select(F.trunc(F.min("onboarding_date"), "month"), F.trunc(F.max("onboarding_date"), "month")).first()
+    return agency_model.monthly_invoices(clients, campaigns, first, last, hours * 150)
 
 
 # -- analytics ----------------------------------------------------------------------
@@ -326,7 +324,9 @@ def category_drilldown(spark, root):
 
 
 def category_by_country(spark, root):
-    return reports.category_by_country(*_retail_three(spark, root), COUNTRIES)
+    sales, products, customers = _retail_three(spark, root)
+    known = customers.select("country").where("country is not null").distinct().collect()  # a dimension: some hundreds
+    return reports.category_by_country(sales, products, customers, sorted(row["country"] for row in known))
 
 
 def rfm_heat_grid(spark, root):
@@ -346,7 +346,7 @@ def portfolio_drilldown(spark, root):
 
 def billing_heat_matrix(spark, root):
     cohorts = billing_cohorts(samples.fact_client_billing(spark, root))
-    return reports.billing_heat_matrix(cohorts, range(SAMPLE_MONTHS))
+    return reports.billing_heat_cells(cohorts)
 
 
 def _touch_pair(spark, root):
