@@ -24,8 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-CACHE_PIECES = 400_000
-GROUP = 1024  # documents encoded together
+CACHE_PIECES = 150_000
+GROUP = 512  # documents encoded together
 
 _WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # The word pattern of the vocabulary file's pre-tokenizer.
@@ -141,7 +141,7 @@ class WordBpe:
         return to
 
     def _fits(self, before: int, token: int) -> bool:
-        if len(self._apart) > 1_000_000:
+        if len(self._apart) > 250_000:
             self._apart.clear()
         ok = self._apart[before, token] = self._stay_apart(before, token)
         return ok
