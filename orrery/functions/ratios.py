@@ -28,3 +28,8 @@ def money(amount: Column) -> Column:
 def as_amount(total: Column, digits: int = 2) -> Column:
     """A money total as a rounded double, for reports."""
     return F.round(total.cast("double"), digits)
+
+
+def cents(x: Column) -> Column:
+    """Two decimals of a double, half a cent up as written in decimals: its binary value may lie just below the half."""
+    return F.round(x.cast("decimal(30,9)"), 2).cast("double")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.dates import month_start
-from orrery.functions.ratios import as_amount, percent, ratio, ratio_or_zero
+from orrery.functions.ratios import as_amount, cents, percent, ratio, ratio_or_zero
 
 
 def client_ad_totals(ad_performance: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def manager_portfolio(
             F.col("target_monthly_revenue").alias("monthly_revenue_target"),
             F.coalesce("_clients", F.lit(0)).alias("active_clients"),
             as_amount(F.coalesce("_billed", F.lit(0))).alias("total_billing_managed"),
-            F.round(ratio_or_zero(F.col("_billed"), F.col("_months")), 2).alias("avg_monthly_billing"),
+            cents(ratio_or_zero(F.col("_billed"), F.col("_months"))).alias("avg_monthly_billing"),
             as_amount(spend).alias("client_ad_spend_managed"),
             as_amount(F.coalesce("_revenue", F.lit(0))).alias("client_conversion_revenue_generated"),
             F.round(

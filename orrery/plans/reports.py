@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.dates import month_start
-from orrery.functions.ratios import ratio_or_zero
+from orrery.functions.ratios import cents, ratio_or_zero
 from orrery.operators.comparisons import share_of_total
 from orrery.plans.agency_reports import client_ad_totals
 from orrery.plans.attribution import MONTH, YEAR, attribution
@@ -202,7 +202,7 @@ def actual_vs_target(managers: DataFrame, billing: DataFrame) -> DataFrame:
     return target_attainment(managers, billing, ["manager_id", "name"]).select(
         "manager_id",
         F.col("name").alias("manager_name"),
-        F.round("average_monthly_billing", 2).alias("average_monthly_billing"),
+        cents("average_monthly_billing").alias("average_monthly_billing"),
         F.col("target").alias("monthly_target"),
         F.round(F.col("monthly_attainment") * 100.0, 2).alias("attainment_pct"),
         F.col("monthly_badge").alias("badge"),
