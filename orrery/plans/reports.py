@@ -202,7 +202,7 @@ def actual_vs_target(managers: DataFrame, billing: DataFrame) -> DataFrame:
     return target_attainment(managers, billing, ["manager_id", "name"]).select(
         "manager_id",
         F.col("name").alias("manager_name"),
-        cents("average_monthly_billing").alias("average_monthly_billing"),
+        cents(F.col("average_monthly_billing")).alias("average_monthly_billing"),
         F.col("target").alias("monthly_target"),
         F.round(F.col("monthly_attainment") * 100.0, 2).alias("attainment_pct"),
         F.col("monthly_badge").alias("badge"),
