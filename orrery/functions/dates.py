@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,29 +12,50 @@ from pyspark.sql import functions as F
 EARLIEST = dt.date(2020, 1, 1)
 LATEST = dt.date(2027, 12, 31)
 
-# Spellings with a month name; the time of day is optional.
-NAMED_MONTHS = "[MMMM d[,] yyyy][MMM d[,] yyyy][d MMMM yyyy][d MMM yyyy][ H:mm[:ss]]"
+# Spellings with a month name, once commas, dots, hyphens and the weekday are gone; a time of day may follow.
+NAMED_PATTERNS = ("MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "d MMM yy", "yyyy MMM d")
+TIME_OF_DAY = "[ h:mm[:ss] a][ H:mm[:ss]]"
 # Numeric spellings turned into year-month-day, which the plain cast understands
-# (with or without a time of day). A leading number that cannot be a month is the day.
+# (with or without a time of day). A leading number that cannot be a month is the day;
+# two-digit years from 70 belong to the last century.
 NUMERIC_TURNS = (
-    (r"^(1[3-9]|2\d|3[01])-(\d{1,2})-(\d{4})", "$3-$2-$1"),
-    (r"^(\d{1,2})-(\d{1,2})-(\d{4})", "$3-$1-$2"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?!\d)", "$1-$2-$3"),
+    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.](\d{4})", "$3-$2-$1"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", "$3-$1-$2"),
+    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.]([0-6]\d)(?!\d)", "20$3-$2-$1"),
+    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.]([7-9]\d)(?!\d)", "19$3-$2-$1"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.]([0-6]\d)(?!\d)", "20$3-$1-$2"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.]([7-9]\d)(?!\d)", "19$3-$1-$2"),
+    (r"^(\d{4})(\d{2})(\d{2})(?=$|[ T])", "$1-$2-$3"),
 )
+_ZONE = r"(?i)\s*(UTC|GMT|(?<=\d)Z)$"
+_HALF_DAY = r"(?i)\s*([ap])\.?m\.?$"
+_WEEKDAY = r"(?i)^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?[,.]?\s+"
 
 
-def parse_date_flexible(col: Column) -> Column:
+def parse_date_flexible(
+    col: Column,
+    named: Sequence[str] = NAMED_PATTERNS,
+    turns: Sequence[tuple[str, str]] = NUMERIC_TURNS,
+) -> Column:
     """Timestamp from mixed date spellings (month first when ambiguous), null when unparseable.
 
+    ``named`` lists the patterns with a month name, ``turns`` the rewritings of numeric
+    dates. A text without a year is null, UTC and GMT at its end are left off.
     Numeric dates are rearranged as text and cast: no formatter, no exception
     for a bad value, and an expression small enough for code generation wherever
     the optimizer copies it to.
     """
-    numeric = F.translate(F.trim(col), "/", "-")
-    for shape, turned in NUMERIC_TURNS:
+    text = F.regexp_replace(F.regexp_replace(F.trim(col), _ZONE, ""), _HALF_DAY, " $1m")
+    words = F.trim(F.regexp_replace(F.regexp_replace(text, _WEEKDAY, ""), r"[\s,./-]+", " "))
+    patterns = "".join(f"[{p}]" for p in named) + TIME_OF_DAY
+    spelled = F.when(words.rlike(r"\d{4}|\p{L} ?\d\d\b"), F.try_to_timestamp(words, F.lit(patterns)))
+    numeric = text
+    for shape, turned in turns:
         numeric = F.regexp_replace(numeric, shape, turned)
-    named = F.when(col.rlike(r"\d{4}"), F.try_to_timestamp(F.trim(col), F.lit(NAMED_MONTHS)))
-    return F.when(col.rlike("[A-Za-z]{3}"), named).otherwise(numeric.try_cast("timestamp"))
+    half_day = F.try_to_timestamp(numeric, F.lit("yyyy-M-d h:mm[:ss] a"))
+    dated = F.when(numeric.rlike(r"m$"), half_day).when(numeric.rlike(r"^\d{4}(-|$)"), numeric.try_cast("timestamp"))
+    return F.when(text.rlike("[A-Za-z]{3}"), spelled).otherwise(dated)
 
 
 def in_bounds(ts: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST) -> Column:

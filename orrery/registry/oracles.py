@@ -41,7 +41,7 @@ def _na(x: str) -> str:
 
 
 def _parsed(x: str) -> str:
-    return f"try_strptime({x}, ['%Y-%m-%d', '%m/%d/%Y', '%d/%m/%Y', '%Y-%m-%d %H:%M:%S'])"
+    return f"try_strptime({x}, ['%Y-%m-%d', '%m/%d/%Y', '%d/%m/%Y', '%Y-%m-%d %H:%M:%S', '%d-%b-%Y', '%m/%d/%y %I:%M %p'])"
 
 
 def _accepted(x: str) -> str:
@@ -57,6 +57,8 @@ def _spelled(day: str, key: str) -> str:
         when {key} % 55 = 0 then '2019-12-31'
         when {key} % 4 = 0 then strftime({day}, '%m/%d/%Y') when {key} % 9 = 0 then strftime({day}, '%d/%m/%Y')
         when {key} % 13 = 0 then strftime({day}, '%Y-%m-%d') || ' 10:30:00'
+        when {key} % 17 = 0 then strftime({day}, '%d-%b-%Y')
+        when {key} % 19 = 0 then strftime({day}, '%m/%d/%y') || ' 09:15 PM'
         else strftime({day}, '%Y-%m-%d') end"""
 
 
@@ -863,6 +865,12 @@ _SELECTS = {
                cast(2 * sum(total_billing_amount) as double) as total_billing
         from billing group by billing.invoice_date""",
     "exported_traffic": M_TRAFFIC,
+    "exported_retail": M_COUNTS.format(n="row_count"),
+    "exported_agency": A_COUNTS,
+    "items_by_header": """
+        select product_id, count(*) as n_items, cast(sum(quantity) as bigint) as quantity,
+               cast(sum(quantity * unit_price) as double) as amount from raw_items
+        where quantity > 0 and unit_price > 0 group by 1""",
     "named_query_results": COHORTS,
     "warehouse_tables": A_LOADED,
     "attribution_view": _attribution(),

@@ -34,9 +34,10 @@ from orrery.plans.pipeline import (
 )
 from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_scores, rfm_segmentation
+from orrery.schemas import RETAIL_RAW
 from orrery.session import scratch_path
 from orrery.sources import samples
-from orrery.sources.raw import read_agency_raw, read_retail_raw, row_counts
+from orrery.sources.raw import read_agency_raw, read_csv, read_retail_raw, row_counts
 from orrery.sources.sinks import (
     export_all,
     export_csv,
@@ -53,7 +54,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPEND_GRID = (dt.date(1995, 5, 20), dt.date(1995, 6, 1))
 SLICE_REGIONS = ("ASIA", "EUROPE", "AFRICA")
 SLICE_DATES = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
-# The sample orders cover 1995-01 to 2001-08; fixed, so that the matrix has fixed columns.
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -488,6 +488,35 @@ def exported_traffic(spark, root):
     )
 
 
+def _exported(spark, tables):
+    """Model tables written as CSV, all read back and counted."""
+    folder = scratch_path(spark, "processed")
+    export_all(tables, folder)
+    return row_counts({name: spark.read.option("header", True).csv(f"{folder}/{name}") for name in tables})
+
+
+def exported_retail(spark, root):
+    return _exported(spark, _galaxy(spark, root))
+
+
+def exported_agency(spark, root):
+    return _exported(spark, samples.agency(spark, root))
+
+
+def items_by_header(spark, root):
+    """Order items from a file with its columns in another order and whole numbers written as 2.0."""
+    path = scratch_path(spark, "items-csv")
+    raw = samples.retail_raw_text(spark, root)["order_items"]
+    whole = F.when(F.col("quantity") == "", "").otherwise(F.concat("quantity", F.lit(".0")))
+    columns = [c for c in reversed(raw.columns) if c != ROW_ORDER]
+    export_csv(raw.withColumn("quantity", whole).select(*columns, F.lit("x").alias("note")), path)
+    sane = retail_model.sane_items(read_csv(spark, path, RETAIL_RAW["order_items"]))
+    return sane.groupBy("product_id").agg(
+        F.count("*").alias("n_items"), F.sum("quantity").alias("quantity"),
+        F.sum(F.col("quantity") * F.col("unit_price")).alias("amount"),
+    )
+
+
 def named_query_results(spark, root):
     """The retail report set run by name and exported; the cohort result is read back."""
     folder = scratch_path(spark, "results")
@@ -528,7 +557,8 @@ _LISTED = (
     check_report_file,
     retail_csv_scan, retail_csv_model, agency_csv_scan, published_retail, published_agency, quarantined_rows,
     appended_billing,
-    exported_traffic, named_query_results, warehouse_tables, attribution_view,
+    exported_traffic, exported_retail, exported_agency, items_by_header,
+    named_query_results, warehouse_tables, attribution_view,
 )
 
 

@@ -204,6 +204,8 @@ def _spelled(day: Column, key: Column) -> Column:
         .when(_every(key, 4), F.date_format(day, "MM/dd/yyyy"))
         .when(_every(key, 9), F.date_format(day, "dd/MM/yyyy"))
         .when(_every(key, 13), F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 10:30:00")))
+        .when(_every(key, 17), F.date_format(day, "dd-MMM-yyyy"))
+        .when(_every(key, 19), F.concat(F.date_format(day, "MM/dd/yy"), F.lit(" 09:15 PM")))
         .otherwise(F.date_format(day, "yyyy-MM-dd"))
     )
 

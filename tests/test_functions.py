@@ -33,6 +33,23 @@ DATES = {
     "3 May 2024": dt.date(2024, 5, 3),
     "2024-05-06 10:30:00": dt.date(2024, 5, 6),
     "31/12/2024 09:15": dt.date(2024, 12, 31),
+    "9/4/2024 10:30 AM": dt.date(2024, 9, 4),
+    "9/4/2024 11:30pm": dt.date(2024, 9, 4),
+    "05/06/24": dt.date(2024, 5, 6),
+    "25.12.25": dt.date(2025, 12, 25),
+    "05/06/98": dt.date(1998, 5, 6),
+    "2024.05.06": dt.date(2024, 5, 6),
+    "20240506 10:30": dt.date(2024, 5, 6),
+    "03-Apr-2024": dt.date(2024, 4, 3),
+    "03-Apr-24": dt.date(2024, 4, 3),
+    "Monday, January 1, 2024": dt.date(2024, 1, 1),
+    "Mon Jan 1 2024 3:05 PM": dt.date(2024, 1, 1),
+    "2024-05-06 10:30:00 UTC": dt.date(2024, 5, 6),
+    "2024-05-06T10:30:00Z": dt.date(2024, 5, 6),
+    "2024-05-06 10:30:00.250": dt.date(2024, 5, 6),
+    "10:30": None,
+    "10:30 PM": None,
+    "May 3": None,
     "2024-02-30": None,
     "13/13/2024": None,
     "": None,
@@ -50,6 +67,12 @@ def test_mixed_dates(spark):
     assert dict(zip(DATES, found)) == DATES
 
 
+def test_date_patterns_are_parameters(spark):
+    found = _apply(spark, ["3|5|2024", "May 3 2024"], lambda c: parse_date_flexible(
+        c, named=("d MMMM yyyy",), turns=((r"^(\d+)\|(\d+)\|(\d{4})", "$3-$2-$1"),)).cast("date"))
+    assert found == [dt.date(2024, 5, 3), None]
+
+
 @pytest.mark.parametrize(
     "text,expected",
     [
