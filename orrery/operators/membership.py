@@ -1,4 +1,4 @@
-"""Referential filters and orphan counts."""
+"""Referential filters."""
 
 from __future__ import annotations
 
@@ -26,15 +26,3 @@ def flag_referenced(
     keys = dim.select(F.col(dim_key or key).alias("_ref")).distinct().withColumn("_hit", F.lit(True))
     joined = df.join(keys, _same_key(df, keys, key, "_ref"), "left")
     return joined.withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_ref", "_hit")
-
-
-def unmatched_rows(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-    """One row, ``n``: fact rows with a non-null key that the dimension lacks.
-
-    Facts are counted per key before the anti join, so the join sees each key
-    once however many rows share it.
-    """
-    per_key = fact.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_fk")).agg(F.count("*").alias("_n"))
-    keys = dim.select(F.col(dim_key).alias("_ref"))
-    missing = per_key.join(keys, F.col("_fk") == F.col("_ref"), "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))

@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.operators.membership import unmatched_rows
-
 
 @dataclass(frozen=True)
 class NotNull:
@@ -160,53 +158,70 @@ AGENCY_CHECKS: tuple[Check, ...] = (
 )
 
 
-def _row_level(check: Check, table: str) -> dict[str, Column]:
-    """Counts this check needs from one scan of ``table``, by part name."""
+def _entry(number: int, key: Column, fact: int, dim: int) -> Column:
+    return F.struct(
+        F.lit(number).alias("check_no"),
+        key.cast("string").alias("key"),
+        F.lit(fact).cast("long").alias("n"),
+        F.lit(dim).cast("long").alias("in_dim"),
+    )
+
+
+def _entries(number: int, check: Check, table: str) -> list[Column]:
+    """What one row of ``table`` adds to a check: an entry per broken rule, key or reference, or null."""
     match check:
-        case NotNull():
+        case NotNull() if check.table == table:
             broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in check.columns])
-            return {"n": F.count_if(broken)} if check.table == table else {}
-        case Value() | Arithmetic():
-            return {"n": F.count_if(F.expr(check.broken))} if check.table == table else {}
+            return [F.when(broken, _entry(number, F.lit(None), 1, 0))]
+        case Value() | Arithmetic() if check.table == table:
+            return [F.when(F.expr(check.broken), _entry(number, F.lit(None), 1, 0))]
+        case Unique() if check.table == table:
+            key = F.col(check.column)
+            return [F.when(key.isNotNull(), _entry(number, key, 1, 0))]
         case Reference():
-            parts = {}
-            if check.table == table:
-                parts["fact_rows"] = F.count("*")
-            if check.dim == table:
-                parts["dim_rows"] = F.count("*")
-                parts["dim_nulls"] = F.count_if(F.col(check.dim_column).isNull())
-            return parts
-    return {}
-
-
-def _part(number: int, part: str, n: Column) -> Column:
-    return F.struct(F.lit(number).alias("check_no"), F.lit(part).alias("part"), n.cast("long").alias("n"))
+            found = [_entry(number, F.col(check.column), 1, 0)] if check.table == table else []
+            return found + ([_entry(number, F.col(check.dim_column), 0, 1)] if check.dim == table else [])
+    return []
 
 
 def check_counts(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """``check_no, part, n``: everything the verdicts are computed from.
+    """``check_no, violations`` for every check, from one scan of each table.
 
-    One aggregate per table covers all its row-level checks; each unique key and
-    each reference adds one narrow aggregate over a single column.
+    All tables' entries meet in one aggregate by check and key, which counts a hot
+    key where it is read; a reference is broken where a key has fact rows and no
+    dimension row, so there is no join.
     """
-    pieces: list[DataFrame] = []
+    spark = next(iter(tables.values())).sparkSession
+    # A seed for each check, so that one without entries reports zero.
+    seed = F.struct(F.col("id").cast("int").alias("check_no"), F.lit(None).cast("string").alias("key"),
+                    F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("in_dim"))
+    pieces = [spark.range(0, len(checks), 1, 1).select(F.inline(F.array(seed)))]
     for table, df in tables.items():
-        counts = [
-            (i, part, col) for i, check in enumerate(checks) for part, col in _row_level(check, table).items()
-        ]
-        if counts:
-            row = df.agg(*[col.alias(f"{part}_{i}") for i, part, col in counts])
-            parts = [_part(i, part, F.col(f"{part}_{i}")) for i, part, _ in counts]
-            pieces.append(row.select(F.inline(F.array(*parts))))
-    for i, check in enumerate(checks):
-        if isinstance(check, Unique):
-            key = F.col(check.column)
-            repeats = tables[check.table].agg((F.count(key) - F.count_distinct(key)).alias("n"))
-            pieces.append(repeats.select(F.inline(F.array(_part(i, "n", F.col("n"))))))
-        elif isinstance(check, Reference):
-            missing = unmatched_rows(tables[check.table], check.column, tables[check.dim], check.dim_column)
-            pieces.append(missing.select(F.inline(F.array(_part(i, "missing", F.col("n"))))))
-    return reduce(DataFrame.unionAll, pieces)
+        entries = [entry for i, check in enumerate(checks) for entry in _entries(i, check, table)]
+        if entries:
+            pieces.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    per_key = reduce(DataFrame.unionAll, pieces).groupBy("check_no", "key").agg(
+        F.sum("n").alias("n"), F.sum("in_dim").alias("in_dim")
+    )
+    keyed = F.col("key").isNotNull()
+    totals = per_key.groupBy("check_no").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("repeats"),
+        F.sum(F.when(keyed & (F.col("in_dim") == 0), F.col("n")).otherwise(0)).alias("missing"),
+        F.sum("in_dim").alias("dim_rows"),
+        F.sum(F.when(keyed, F.lit(0)).otherwise(F.col("in_dim"))).alias("dim_nulls"),
+    )
+    orphans = F.when(F.col("dim_rows") == 0, F.col("rows")).when(F.col("dim_nulls") > 0, F.lit(0)).otherwise(F.col("missing"))
+
+    def numbers(kind: type) -> list[int]:
+        return [i for i, check in enumerate(checks) if isinstance(check, kind)]
+
+    violations = (
+        F.when(F.col("check_no").isin(numbers(Unique)), F.col("repeats"))
+        .when(F.col("check_no").isin(numbers(Reference)), orphans)
+        .otherwise(F.col("rows"))
+    )
+    return totals.select("check_no", violations.cast("long").alias("violations"))
 
 
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -215,15 +230,7 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
     A reference follows SQL ``NOT IN``: everything is an orphan when the
     dimension is empty, nothing is when the dimension holds a null key.
     """
-    def part(name: str) -> Column:
-        return F.max(F.when(F.col("part") == name, F.col("n")))
-
-    orphans = (
-        F.when(part("dim_rows") == 0, part("fact_rows")).when(part("dim_nulls") > 0, F.lit(0)).otherwise(part("missing"))
-    )
-    totals = check_counts(tables, checks).groupBy("check_no").agg(
-        F.coalesce(part("n"), orphans).alias("violations")
-    )
+    totals = check_counts(tables, checks)
     names = F.array(*[F.lit(c.name) for c in checks])
     details = F.array(*[F.lit(c.detail) for c in checks])
     at = F.col("check_no") + 1

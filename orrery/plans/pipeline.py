@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,13 @@ from orrery.schemas import AGENCY, RETAIL
 from orrery.sources.raw import read_agency_raw, read_retail_raw
 from orrery.sources.sinks import (
     FACT_LAYOUTS,
+    export_all,
     export_csv,
     open_tables,
     publish,
     run_named,
     save_check_report,
+    swap_in,
     to_layout,
 )
 
@@ -133,13 +136,21 @@ def store_agency(
     return {**tables, **dates}, loaded.unionAll(loaded_dates)
 
 
-def _check_and_report(
+def _check_and_publish(
     tables: dict[str, DataFrame],
     checks: Sequence[Check],
     queries: Callable[[Mapping[str, DataFrame]], dict[str, Callable[[], DataFrame]]],
+    staged: str,
     out: str,
     on_fail: str,
+    rename: Mapping[str, str] = {},
+    processed: bool = False,
 ) -> bool:
+    """Check staged tables, then make them the warehouse and run the reports on it.
+
+    A load that is refused changes nothing but the validation report; its tables
+    stay in the staged folder for inspection.
+    """
     report = run_checks(tables, checks)
     spark = report.sparkSession
     save_check_report(report, f"{out}/validation_report")
@@ -153,10 +164,19 @@ def _check_and_report(
         if on_fail == "raise":
             raise ChecksFailed(message)
         log.warning(message)
-    run_named(queries(tables), f"{out}/results")
+    swap_in(spark, staged, f"{out}/warehouse")
+    schemas = {rename.get(name, name): df.schema for name, df in tables.items()}
+    live = open_tables(spark, f"{out}/warehouse", list(schemas), schemas)
+    if processed:
+        export_all(live, f"{out}/processed")
+    run_named(queries({name: live[rename.get(name, name)] for name in tables}), f"{out}/results")
     return bool(result["all_passed"])
 
 
+def _staging(out: str) -> str:
+    return f"{out}/staged-{uuid.uuid4().hex[:12]}"
+
+
 def quarantine_retail(raw: dict[str, DataFrame], out: str, order: Sequence[str] = SEQ) -> DataFrame:
     """Store the rejected rows of every raw table with their reason; returns the counts per rule."""
     tagged = tag_retail_raw(raw, order)
@@ -172,9 +192,13 @@ def run_retail(
     default_email: str = DEFAULT_EMAIL,
     quarantine: bool = False,
     by_month: bool = True,
+    processed: bool = False,
 ) -> bool:
     """Raw retail files to warehouse, validation report and results; True when all checks passed.
 
+    The load is staged and checked before it replaces the warehouse. ``processed`` also
+    exports every model table as CSV.
+
     ``quarantine`` also stores the rejected rows and their counts per rule, which
     reads the raw files once more. ``by_month`` splits the facts into a folder per
     month; turn it off when a month is much smaller than a file should be.
@@ -182,13 +206,17 @@ def run_retail(
     tables = read_retail_raw(spark, raw)
     if quarantine:
         export_csv(quarantine_retail(tables, f"{out}/quarantine"), f"{out}/reject_counts")
-    stored, _ = store_retail(tables, f"{out}/warehouse", default_email=default_email, by_month=by_month)
-    return _check_and_report(stored, RETAIL_CHECKS, retail_queries, out, on_fail)
+    staged = _staging(out)
+    stored, _ = store_retail(tables, staged, default_email=default_email, by_month=by_month)
+    return _check_and_publish(stored, RETAIL_CHECKS, retail_queries, staged, out, on_fail, processed=processed)
 
 
 def run_agency(
-    spark: SparkSession, raw: str, out: str, on_fail: str = "warn", by_month: bool = True
+    spark: SparkSession, raw: str, out: str, on_fail: str = "warn", by_month: bool = True, processed: bool = False
 ) -> bool:
-    """Raw agency files to warehouse, validation report and results; True when all checks passed."""
-    stored, _ = store_agency(read_agency_raw(spark, raw), f"{out}/warehouse", by_month)
-    return _check_and_report(stored, AGENCY_CHECKS, agency_queries, out, on_fail)
+    """Raw agency files to warehouse, validation report and results, as in ``run_retail``."""
+    staged = _staging(out)
+    stored, _ = store_agency(read_agency_raw(spark, raw), staged, by_month)
+    return _check_and_publish(
+        stored, AGENCY_CHECKS, agency_queries, staged, out, on_fail, AGENCY_RENAMES, processed
+    )

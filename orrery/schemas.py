@@ -9,6 +9,8 @@ _TYPES = {
     "i": T.IntegerType(),
     "l": T.LongType(),
     "m": T.DecimalType(18, 2),
+    # Unit prices keep what the raw file says; amounts are rounded once, when they are computed.
+    "p": T.DecimalType(26, 8),
     "d": T.DateType(),
 }
 
@@ -22,17 +24,12 @@ def _layout(spec: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def as_text(layout: T.StructType) -> T.StructType:
-    """The same columns, all nullable text: how a raw file is scanned."""
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in layout.fields])
-
-
 # Raw files, with the type each column takes after the no-value tokens are nulled.
 RETAIL_RAW = {
     "customers": _layout("customer_id:s full_name:s email:s country:s signup_date:s"),
-    "products": _layout("product_id:s product_name:s category:s base_price:m"),
+    "products": _layout("product_id:s product_name:s category:s base_price:p"),
     "orders": _layout("order_id:s customer_id:s order_date:s status:s shipping_fee:m"),
-    "order_items": _layout("order_item_id:s order_id:s product_id:s quantity:i unit_price:m"),
+    "order_items": _layout("order_item_id:s order_id:s product_id:s quantity:i unit_price:p"),
     "sessions": _layout(
         "session_id:s customer_id:s session_date:s traffic_source:s device_type:s "
         "pages_viewed:i duration_seconds:i bounced:i converted:i"
@@ -61,14 +58,14 @@ AGENCY_RAW = {
 # Galaxy tables.
 RETAIL = {
     "dim_customers": _layout("customer_id:s full_name:s! email:s country:s signup_date:d!"),
-    "dim_products": _layout("product_id:s product_name:s! category:s! base_price:m!"),
+    "dim_products": _layout("product_id:s product_name:s! category:s! base_price:p!"),
     "dim_date": _layout(
         "date_key:d date:d year:i quarter:i quarter_name:s month:i month_name:s month_short:s "
         "day:i day_of_week:i day_name:s is_weekend:i"
     ),
     "fact_sales": _layout(
         "order_item_id:s order_id:s! customer_id:s! product_id:s! order_date:d! quantity:i! "
-        "unit_price:m! line_subtotal:m! shipping_fee:m status:s month_index:i"
+        "unit_price:p! line_subtotal:m! shipping_fee:m status:s month_index:i"
     ),
     "fact_web_traffic": _layout(
         "session_id:s customer_id:s! session_date:d! traffic_source:s device_type:s "

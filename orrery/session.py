@@ -44,7 +44,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="orrery-scratch-")
     spark.sparkContext.setCheckpointDir(root)

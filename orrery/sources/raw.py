@@ -6,13 +6,13 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.functions.text import na_to_null
 from orrery.operators.first_rows import ROW_ORDER
-from orrery.schemas import AGENCY_RAW, RETAIL_RAW, as_text
+from orrery.schemas import AGENCY_RAW, RETAIL_RAW
 
 
 def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
@@ -26,33 +26,51 @@ def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
             raise FileNotFoundError(path) from error
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        # Writers that allow gaps in a whole-number column spell 2 as 2.0.
+        number = text.try_cast("decimal(38,6)")
+        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
+    return text.try_cast(kind)
+
+
 def normalize(df: DataFrame, layout: T.StructType) -> DataFrame:
     """Null the no-value tokens of the layout's columns and give them their types.
 
     Text that does not fit a numeric column becomes null, so that the cleansing
-    rules can account for the row.
+    rules can account for the row; a whole number may be written ``2.0``.
     """
-    typed = {}
-    for field in layout.fields:
-        text = na_to_null(F.col(field.name))
-        typed[field.name] = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
-    return df.withColumns(typed)
+    return df.withColumns({f.name: _typed(na_to_null(F.col(f.name)), f.dataType) for f in layout.fields})
 
 
 def read_csv(spark: SparkSession, path: str, layout: T.StructType, **options: str) -> DataFrame:
     """One raw file or folder with header, plus ``_row_order``.
 
+    Columns are bound by their name in the header, in any order; other columns are
+    left out, a missing one raises ``ValueError``. All files of a folder must have
+    the same header, which Spark checks while it reads them.
+
     Spark tables have no row order; the file, the position of the split in it and
     the running id inside the split restore the order of the rows in the file,
     whatever the split size.
     """
-    reader = spark.read.schema(as_text(layout)).option("header", True).option("escape", '"').options(**options)
+    def reader() -> DataFrameReader:
+        return spark.read.option("header", True).option("escape", '"').options(**options)
+
+    header = reader().csv(path).columns
+    missing = [name for name in layout.names if name not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    found = T.StructType([T.StructField(name, T.StringType()) for name in header])
     order = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return normalize(reader.csv(path).select("*", order.alias(ROW_ORDER)), layout)
+    rows = reader().schema(found).option("enforceSchema", False).csv(path)
+    return normalize(rows.select(*layout.names, order.alias(ROW_ORDER)), layout)
 
 
 def _read_all(spark: SparkSession, root: str, layouts: Mapping[str, T.StructType], suffix: str) -> dict[str, DataFrame]:

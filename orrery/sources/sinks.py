@@ -44,6 +44,35 @@ def _stored_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
     return spark.read.schema(schema).parquet(path).count()
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def swap_in(spark: SparkSession, staged: str, live: str) -> None:
+    """Make a staged folder the live one; what was live stays beside it as ``<live>_previous``.
+
+    Two renames in one file system: no data is copied, and a run that dies between
+    them leaves the old tables whole under the previous name.
+    """
+    fs, new = _file_system(spark, staged)
+    now, old = _file_system(spark, live)[1], _file_system(spark, f"{live}_previous")[1]
+    if fs.exists(now):
+        if fs.exists(old):
+            fs.delete(old, True)
+        if not fs.rename(now, old):
+            raise OSError(f"cannot set {live} aside")
+    if not fs.rename(new, now):
+        if fs.exists(old):
+            fs.rename(old, now)
+        raise OSError(f"cannot move {staged} to {live}")
+
+
 def write_table(df: DataFrame, path: str, layout: Layout | None = None, mode: str = "overwrite") -> int:
     """Write one Parquet table and verify the stored row count; returns the rows written.
 
@@ -53,7 +82,7 @@ def write_table(df: DataFrame, path: str, layout: Layout | None = None, mode: st
     months into one file and splits a month that is too large for one task.
     """
     spark, schema = df.sparkSession, df.schema
-    before = _stored_rows(spark, path, schema) if mode == "append" else 0
+    before = _stored_rows(spark, path, schema) if mode == "append" and _exists(spark, path) else 0
     if layout is not None:
         df = df.withColumn(layout.partition, month_start(F.col(layout.month_of)))
         df = df.hint("rebalance", layout.partition)
@@ -171,7 +200,9 @@ with touch as (
          sum(s.quantity) as units_sold,
          sum(s.line_subtotal) as revenue
   from identifier({sales}) s
-  join touch t on s.customer_id = t.customer_id and s.order_date = t.session_date
+  -- Null-safe, though neither side has nulls here: the join then has shuffle keys of its own, not those of the
+  -- grouping in touch, and adaptive execution can split a hot customer and day.
+  join touch t on s.customer_id <=> t.customer_id and s.order_date <=> t.session_date
   where s.status <> 'Cancelled'
   group by t.source
 ), seen as (

@@ -53,6 +53,54 @@ def test_csv_row_order_survives_any_split_size(spark, tmp_path, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    folder = tmp_path / "items"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "note,unit_price,quantity,product_id,order_id,order_item_id\n"
+        "x,9.999,2.0,P1,O1,I1\n"
+        "x,0.004,2.5,P1,O1,I2\n"
+        "x,NULL,,P1,O1,I3\n"
+    )
+    rows = read_csv(spark, str(folder), RETAIL_RAW["order_items"]).orderBy("order_item_id").collect()
+    found = [(r.order_item_id, r.order_id, r.quantity, None if r.unit_price is None else float(r.unit_price)) for r in rows]
+    assert found == [("I1", "O1", 2, 9.999), ("I2", "O1", None, 0.004), ("I3", "O1", None, None)]
+    (folder / "b.csv").write_text("note,quantity,unit_price,product_id,order_id,order_item_id\nx,1,2,P1,O1,I4\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(folder), RETAIL_RAW["order_items"]).collect()
+    (tmp_path / "short.csv").write_text("order_item_id,order_id\nI1,O1\n")
+    with pytest.raises(ValueError, match="product_id, quantity, unit_price"):
+        read_csv(spark, str(tmp_path / "short.csv"), RETAIL_RAW["order_items"])
+
+
+def test_a_refused_load_leaves_the_warehouse_as_it_was(spark, tmp_path):
+    raw = fixtures.agency_raw(spark)
+    for name, df in raw.items():
+        _csv(df, tmp_path / "raw" / f"{name}.csv")
+    out = str(tmp_path / "out")
+    assert run_agency(spark, str(tmp_path / "raw"), out, processed=True)
+    exported = spark.read.option("header", True).csv(f"{out}/processed/dim_date_agency")
+    assert exported.count() == spark.read.parquet(f"{out}/warehouse/dim_date_agency").count() > 0
+    before = sorted(map(tuple, spark.read.parquet(f"{out}/warehouse/fact_client_billing").collect()))
+    bad = raw["client_billing"]
+    _csv(bad.unionAll(bad), tmp_path / "raw" / "client_billing.csv")
+    with pytest.raises(DuplicateKeys, match="invoice_id"):
+        run_agency(spark, str(tmp_path / "raw"), out)
+    _csv(bad.withColumn("manager_id", F.lit("M404")), tmp_path / "raw" / "client_billing.csv")
+    with pytest.raises(ChecksFailed):
+        run_agency(spark, str(tmp_path / "raw"), out, on_fail="raise")
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/warehouse/fact_client_billing").collect())) == before
+    assert run_agency(spark, str(tmp_path / "raw"), out) is False
+    assert spark.read.parquet(f"{out}/warehouse/fact_client_billing").filter("manager_id <> 'M404'").count() == 0
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/warehouse_previous/fact_client_billing").collect())) == before
+
+
+def test_append_to_a_table_that_is_not_there_yet(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert [write_table(spark.range(5).toDF("id"), path, mode="append") for _ in range(2)] == [5, 5]
+    assert spark.read.parquet(path).count() == 10
+
+
 def test_retail_run(spark, sample_dir, tmp_path):
     for name, df in samples.retail_raw_text(spark, sample_dir).items():
         df = df.orderBy(ROW_ORDER).drop(ROW_ORDER) if ROW_ORDER in df.columns else df
