@@ -6,7 +6,8 @@ a group, stored as the shingles of its most typical member, the hub, and the mos
 of the group's union. Members that reach the threshold with the hub are linked to it and stay in the group; the others
 are grouped anew by their least common shared key, some rounds long, and then stand alone.
 
-A set meets the other groups that share a key with it. What it has in common with the hub, and the group's most beside
+A set meets the other groups that share a key with it, where the key, as the first the two share, leaves enough behind it
+on both sides. What it has in common with the hub, and the group's most beside
 it, bound its overlap with any member. Only groups whose bound reaches the threshold are opened: the set is compared
 with the members that share a key with it, exactly. Within a group no pairs are made. The links found connect the same
 documents as all pairs would; links that only repeat a connection through a hub are not listed.
@@ -199,7 +200,11 @@ def _gather(lists: DataFrame, sets: DataFrame, percent: int, name: str, common:
 def set_links(sets: DataFrame, percent: int) -> DataFrame:
     """Edges (``a``, ``b``) between signatures that connect the same sets as all links do."""
     shared = sets.where(F.col("prefix").isNotNull())
-    lists = shared.select("sig", "n", "lone", F.explode("prefix").alias("token"))
+    # Prefixes have one order for all sets. If a token is the first that two sets share, neither has more in common with the
+    # other than what it holds from there on: ``reach`` is the size of the largest partner which that allows.
+    placed = shared.select("sig", "n", "lone", F.posexplode("prefix").alias("place", "token"))
+    reach = F.floor(((100 + percent) * (F.col("n") - F.col("lone") - F.col("place")) - percent * F.col("n")) / percent)
+    lists = placed.select("sig", "n", "lone", "token", reach.alias("reach"))
     rest, labels = lists, None
     for k in range(ROUNDS):
         found = _gather(rest, shared, percent, f"group-{k}", k == 0).where("linked")
@@ -212,14 +217,15 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     lone = lists.select("sig").distinct().join(named.select("sig"), "sig", "left_anti")
     named = materialize(named.union(lone.select("sig", "sig", F.lit(None).cast("long"), F.lit(True))), "labels")
     known = lists.join(named, "sig").withColumn("common", F.coalesce("common", "n"))
-    marked = materialize(known.select("sig", "n", "lone", "token", "label", "common", "alone"), "lists")
+    marked = materialize(known.select("sig", "n", "lone", "token", "reach", "label", "common", "alone"), "lists")
     extra = marked.groupBy("label").agg(F.max(F.col("n") - F.col("common")).alias("extra"))
     # Lone shingles are in no intersection, so of any linked two one has few of them. Two labels meet from one side only:
     # a set that is alone looks for groups and for rich sets, of two groups the members of one look for the other.
     miss = 100 - percent
     rich = miss * (F.col("n") - F.col("lone")) >= 2 * percent * F.col("lone")
-    groups = marked.where(rich | ~F.col("alone")).groupBy("token", F.col("label").alias("b")).agg(F.min("lone").alias("least"), F.first("alone").alias("b_alone"))
+    groups = marked.where(rich | ~F.col("alone")).groupBy("token", F.col("label").alias("b")).agg(F.min("lone").alias("least"), F.min("n").alias("shortest"), F.max("reach").alias("longest"), F.first("alone").alias("b_alone"))
     room = miss * (F.col("n") - F.col("lone")) >= percent * (F.col("lone") + F.col("least"))
+    room &= (F.col("shortest") <= F.col("reach")) & (F.col("n") <= F.col("longest"))
     both = F.col("alone") & F.col("b_alone")
     seeks = F.when(both, ~rich | (F.col("sig") < F.col("b"))).when(F.col("alone") | F.col("b_alone"), F.col("alone")).otherwise(F.col("label") < F.col("b"))
     meets = marked.join(groups, "token").where((F.col("label") != F.col("b")) & room & seeks).groupBy(F.col("sig").alias("a"), "b").agg(F.first("n").alias("n"))
@@ -232,11 +238,12 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     opened = materialize(closed.where((F.col("extra") > 0) & (100 * (F.col("with_hub") + F.col("extra")) >= percent * F.col("n"))).select("a", "b", "with_hub"), "opened")
     if opened.isEmpty():
         return edges
-    x = marked.select(F.col("sig").alias("a"), "n", "lone", "token").join(opened.withColumnRenamed("b", "label"), "a")
-    y = marked.where("sig <> label").select(F.col("sig").alias("b"), F.col("n").alias("yn"), F.col("lone").alias("yl"), "token", "label", "common")
+    x = marked.select(F.col("sig").alias("a"), "n", "lone", "token", "reach").join(opened.withColumnRenamed("b", "label"), "a")
+    y = marked.where("sig <> label").select(F.col("sig").alias("b"), F.col("n").alias("yn"), F.col("lone").alias("yl"), "token", F.col("reach").alias("yr"), "label", "common")
     shared_most = F.least("with_hub", "common") + F.least(F.col("n") - F.col("with_hub"), F.col("yn") - F.col("common"))
     shared_most = F.least(shared_most, F.col("n") - F.col("lone"), F.col("yn") - F.col("yl"))
-    possible = (100 * shared_most >= percent * (F.col("n") + F.col("yn") - shared_most)) & (miss * shared_most >= percent * (F.col("lone") + F.col("yl")))
+    possible = (F.col("yn") <= F.col("reach")) & (F.col("n") <= F.col("yr"))
+    possible &= (100 * shared_most >= percent * (F.col("n") + F.col("yn") - shared_most)) & (miss * shared_most >= percent * (F.col("lone") + F.col("yl")))
     pairs = x.join(y, ["token", "label"]).where(possible).select("a", "b").distinct()
     return edges.union(_compare_pairs(pairs, shared, percent).where("linked").select("a", "b"))
 
