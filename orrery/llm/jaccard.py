@@ -218,7 +218,8 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     named = materialize(named.union(lone.select("sig", "sig", F.lit(None).cast("long"), F.lit(True))), "labels")
     known = lists.join(named, "sig").withColumn("common", F.coalesce("common", "n"))
     marked = materialize(known.select("sig", "n", "lone", "token", "reach", "label", "common", "alone"), "lists")
-    extra = marked.groupBy("label").agg(F.max(F.col("n") - F.col("common")).alias("extra"))
+    # groups of a hub alone have no entry: there is nothing to open
+    extra = marked.where("sig <> label").groupBy("label").agg(F.max(F.col("n") - F.col("common")).alias("extra"))
     # Lone shingles are in no intersection, so of any linked two one has few of them. Two labels meet from one side only:
     # a set that is alone looks for groups and for rich sets, of two groups the members of one look for the other.
     miss = 100 - percent
@@ -233,9 +234,10 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     bounds = materialize(_compare_pairs(meets.select("a", "b"), shared, percent), "bounds")
     edges = named.where("sig <> label").select(F.col("sig").alias("a"), F.col("label").alias("b"))
     edges = edges.union(bounds.where("linked").select("a", "b"))
-    # open a group only if what a set shares with the hub and the most a member has beside it can reach the threshold
+    # open a group only if what a set shares with the hub and the most a member has beside it can reach the threshold; members
+    # that are parts of the hub have nothing beside it, but may be small enough for a set that the hub is too large for
     closed = bounds.where("not linked").select("a", "b", F.col("common").alias("with_hub")).join(meets, ["a", "b"]).join(extra.withColumnRenamed("label", "b"), "b")
-    opened = materialize(closed.where((F.col("extra") > 0) & (100 * (F.col("with_hub") + F.col("extra")) >= percent * F.col("n"))).select("a", "b", "with_hub"), "opened")
+    opened = materialize(closed.where(100 * (F.col("with_hub") + F.col("extra")) >= percent * F.col("n")).select("a", "b", "with_hub"), "opened")
     if opened.isEmpty():
         return edges
     x = marked.select(F.col("sig").alias("a"), "n", "lone", "token", "reach").join(opened.withColumnRenamed("b", "label"), "a")

@@ -58,6 +58,23 @@ def copy_documents(seed: int = 1) -> list[tuple[int, str | None]]:
     return list(enumerate(texts))
 
 
+def cropped_documents(width: int, percent: int, seed: int = 11) -> list[tuple[int, str]]:
+    """Texts, their beginnings and ends just inside the threshold, and beginnings that go on differently: too far from the
+    whole text, near enough to its beginning."""
+    rng = random.Random(seed)
+    texts = []
+    for k in range(24):
+        base = prose(rng, 100 + width - 1, 10**6)
+        part = percent + 2 + width - 1
+        texts += [" ".join(base), " ".join(base[:part]), " ".join(base[-part:])]
+        more = 100 * (percent + 2) // percent - percent - 2
+        texts.append(" ".join(base[:part] + prose(rng, max(1, more - k % 2), 10**6)))
+        if k % 3 == 0:
+            texts += [" ".join(base[4 : part + 4]), " ".join(prose(rng, 3, 10**6) + base[-part:])]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
 def brute_components(docs: list[tuple[int, str | None]], width: int, percent: int) -> dict[int, tuple[int, int]]:
     """``doc_id`` to (number of shingles, component), over all pairs."""
     sets = {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orrery.llm import bpe, fertility, jaccard, language, mixing, pii, quality, substrings
 from orrery.llm.queries import tokenizer_file
 
-from .helpers import brute_components, brute_fertility_base, brute_pii, brute_substrings, copy_documents, edited, prose, sha, words
+from .helpers import brute_components, brute_fertility_base, brute_pii, brute_substrings, copy_documents, cropped_documents, edited, prose, sha, words
 
 SCHEMA = "doc_id long, text string"
 
@@ -27,6 +27,13 @@ def test_jaccard_groups(spark, width, percent):
     assert found == brute_components(docs, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_groups_of_parts(spark, width, percent):
+    docs = cropped_documents(width, percent)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(frame(spark, docs), width, percent).collect()}
+    assert found == brute_components(docs, width, percent)
+
+
 def test_jaccard_edges(spark):
     assert jaccard.jaccard_groups(frame(spark, [])).count() == 0
     rows = [(7, "a b c d"), (7, "x y z w"), (3, "x y z w"), (None, "a b c d"), (9, "a b c d"), (9, "a b c d")]
