@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import random
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +80,38 @@ def test_url_rules_and_model(spark):
     assert urls.url_verdicts(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
 
 
+def test_url_scores_with_many_ngrams(spark):
+    """Far more distinct n-grams than 2^16: the counts stay those of the whole n-grams."""
+    rng = random.Random(12)
+    make = lambda kind: f"http://{kind}/" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
+    rows = [(k, make("example.net/en" if k % 2 else "example.com/de")) for k in range(6000)] + [(9000 + k, make("a.org/xx")) for k in range(50)]
+    counts: list[Counter] = [Counter(), Counter()]
+
+    def grams(url):
+        data = bytes(5) + url.encode() + b"\0"
+        return [[(data[i - o : i], data[i]) for o in range(6)] for i in range(5, len(data))]
+
+    for key, url in rows:
+        if key < 9000 and zlib.crc32(str(key).encode()) % 5:
+            counts[key % 2].update(x for at in grams(url) for c, ch in at for x in ((c, None), (c, ch)))
+    assert len(counts[0]) > 4 * 2**16
+
+    def score(url):
+        total = 0.0
+        for at in grams(url):
+            for label, sign in ((1, 1), (0, -1)):
+                p = 1 / 256
+                for c, ch in at:
+                    p = (counts[label][c, ch] + 4 * p) / (counts[label][c, None] + 4)
+                total += sign * math.log(p)
+        return total / (len(url) + 1)
+
+    table = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    found = {r["page_id"]: r["url_score"] for r in urls.url_verdicts(table, URL_RULES).collect()}
+    for key, url in rows[:40] + rows[-50:]:
+        assert found[key] == pytest.approx(score(url), abs=1e-6)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 200), (300, 300)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
