@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
-Each tree hashes a vector to a string of ``DEPTH`` bits (signs of projections on random directions). Sorting the strings
-is the tree: a prefix of any length is a contiguous range. Spark range-partitions and sorts the strings of all trees, so
-one task holds a bounded slice of one or few sorted arrays. A query descends to its longest-prefix match in each tree
-and ascends, a bit at a time for all queries of the slice together, until its prefix range holds ``window`` vectors;
-the nearest of the range in string order are scored exactly in double precision. The best of all trees are merged.
+Each tree hashes a vector to a string of ``DEPTH`` bits (signs of projections on random directions), followed by one more
+projection of the tree's own, which orders the vectors whose bits are equal. The sorted strings are the tree: a prefix of
+any length is a contiguous range. A sample of the strings cuts each tree into slices of bounded size, one group each. A
+query's window are the ``window`` strings, or the share ``SHARE`` of all if that is more, on either side of its own, found
+by rank in the sample. It is sent to every slice that the window touches, and the vectors of the window are scored exactly
+in double precision. The best of all slices and trees are merged.
 
 Equal vectors are one entry of the index, under their smallest id, with as many of their smallest ids as a result can
 need: the rest could not be among the ``k`` nearest. So a vector that a third of all rows share costs one entry.
@@ -13,13 +14,16 @@ Vectors that are null, zero or have null or non-finite components take no part.
 compared. Ties go to the smaller id. An empty table gives no rows. With fewer than ``k`` candidates a query finds at
 most all of them. A found list is shorter than ``k`` only if all trees together reach fewer vectors.
 
-The work is linear in rows, trees and ``window``. Uncorrelated vectors, where the nearest is hardly nearer than the
-rest, need a window that is a few hundredths of the table; ``window`` and ``trees`` are the recall parameters.
+The work is linear in queries, trees and the window, so it grows with the square of a large table: uncorrelated vectors,
+where the nearest is hardly nearer than the rest, need a window that is a few hundredths of the table. A query misses a
+vector only if the windows of all trees do. ``window``, ``share`` and ``trees`` are the recall parameters.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,9 @@ from ..session import materialize
 DEPTH = 60
 TREES = 32
 WINDOW = 2048
+SHARE = 0.04  # of the table, on either side
 SLICE_ROWS = 32_768
+SAMPLE_ROWS = 8192
 
 
 def _usable(vector: Column) -> Column:
@@ -49,100 +55,138 @@ def distinct_vectors(rows: DataFrame, k: int, key: str = "vec_id", vector: str =
     return entries.select(F.col("ids")[0].alias("vkey"), "ids", "asks", F.col(vector).alias("vector"))
 
 
-def hash_strings(vectors: np.ndarray, trees: int, seed: int) -> np.ndarray:
-    """The hash string of each vector in each tree, as an integer of ``DEPTH`` bits."""
+def hash_strings(vectors: np.ndarray, trees: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector and tree: ``DEPTH`` bits as an integer, and a projection as one of the same order."""
     rng = np.random.default_rng([seed, vectors.shape[1]])
-    out = np.empty((len(vectors), trees), np.int64)
+    bits, rest = np.empty((len(vectors), trees), np.int64), np.empty((len(vectors), trees), np.uint64)
     place = 1 << np.arange(DEPTH - 1, -1, -1, dtype=np.int64)
     for t in range(trees):
-        out[:, t] = (vectors @ rng.standard_normal((vectors.shape[1], DEPTH)) > 0) @ place
-    return out
+        on = vectors @ rng.standard_normal((vectors.shape[1], DEPTH + 1))
+        bits[:, t] = (on[:, :DEPTH] > 0) @ place
+        raw = np.ascontiguousarray(on[:, DEPTH]).view(np.uint64)
+        rest[:, t] = np.where(raw >> np.uint64(63), ~raw, raw | np.uint64(1 << 63))
+    return bits, rest
+
+
+def strings(bits: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Both parts as 16 bytes that compare like them."""
+    return np.stack([bits.astype(np.uint64), rest], 1).astype(">u8").view("S16").ravel()
+
+
+@dataclass
+class Trees:
+    """The trees over the vectors of one length, by a sorted sample of the strings of each."""
+
+    sample: np.ndarray  # [tree, place]
+    slices: int
+    window: int  # in places of the sample
+    base: int  # number of its first group
+
+    def slice_of(self, tree: int, keys: np.ndarray) -> np.ndarray:
+        cuts = np.arange(1, self.slices) * self.sample.shape[1] // self.slices
+        return np.searchsorted(self.sample[tree][cuts], keys, "right")
+
+    def reach(self, tree: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and last string of each key's window."""
+        sample = np.concatenate([[b""], self.sample[tree], [b"\xff" * 16]])
+        at = np.searchsorted(self.sample[tree], keys) + 1
+        return sample[np.maximum(at - self.window, 0)], sample[np.minimum(at + self.window, len(sample) - 1)]
+
+
+def plan_trees(index: DataFrame, trees: int, window: int, share: float, seed: int, slice_rows: int) -> tuple[dict[int, Trees], int]:
+    """The trees by length of vector, and the number of groups."""
+    count = {r["dim"]: r["count"] for r in index.groupBy(F.size("vector").alias("dim")).count().collect()}
+    if not count:
+        return {}, 0
+    slices = {dim: -(-n // slice_rows) for dim, n in count.items()}
+    part = {dim: max(SAMPLE_ROWS, 64 * slices[dim]) / n for dim, n in count.items()}
+    parts = F.create_map(*(F.lit(x) for item in part.items() for x in item))
+    draw = F.pmod(F.xxhash64(F.lit(37), "vkey"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = index.where(draw < F.element_at(parts, F.size("vector"))).select("vector").toArrow()["vector"].combine_chunks()
+    size = np.diff(drawn.offsets.to_numpy()) if len(drawn) else np.zeros(0, np.int64)
+    plan, base = {}, 0
+    for dim in sorted(count):
+        where = np.flatnonzero(size == dim)
+        flat = drawn.take(pa.array(where)).flatten().to_numpy().reshape(len(where), dim).astype(np.float64)
+        bits, rest = hash_strings(flat, trees, seed)
+        sample = np.stack([np.sort(strings(bits[:, t], rest[:, t])) for t in range(trees)])
+        wide = max(window, math.ceil(share * count[dim]))
+        plan[dim] = Trees(sample, slices[dim] if len(where) else 1, math.ceil(wide * len(where) / count[dim]) + 1, base)
+        base += trees * plan[dim].slices
+    return plan, base
+
+
+def _forest(index: DataFrame, plan: dict[int, Trees], trees: int, seed: int) -> DataFrame:
+    """Every vector in its slice of each tree, and every query (``asks``) in the slices its window touches."""
 
-
-def _forest(index: DataFrame, trees: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, min(1000, batch.num_rows - k))
                 column = part.column("vector")
                 size = np.diff(column.offsets.to_numpy())
-                for dim in np.unique(size):
+                for dim in np.unique(size).tolist():
                     where = np.flatnonzero(size == dim)
                     flat = column.take(pa.array(where)).flatten().to_numpy().reshape(len(where), dim).astype(np.float64)
-                    found = hash_strings(flat, trees, seed)
+                    bits, rest = hash_strings(flat, trees, seed)
                     packed = pa.array([v.tobytes() for v in flat.astype(np.float32 if column.type.value_type == pa.float32() else np.float64)], pa.binary())
                     own = part.take(pa.array(where))
+                    asking = np.flatnonzero(own.column("asks").to_numpy(zero_copy_only=False))
                     for t in range(trees):
+                        keys = strings(bits[:, t], rest[:, t])
+                        low, high = (plan[dim].slice_of(t, x) for x in plan[dim].reach(t, keys[asking]))
+                        many = high - low + 1
+                        to = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                        row = np.concatenate([np.arange(len(where)), np.repeat(asking, many)])
+                        group = plan[dim].base + t * plan[dim].slices + np.concatenate([plan[dim].slice_of(t, keys), to])
+                        take = pa.array(row)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(where), dim, np.int32)), pa.array(np.full(len(where), t, np.int32)), pa.array(found[:, t]), own.column("vkey"), own.column("asks"), packed],
-                            ["dim", "tree", "bits", "vkey", "asks", "packed"],
+                            [pa.array(group.astype(np.int32)), pa.array(np.arange(len(row)) >= len(where)), pa.array(bits[row, t]), pa.array(rest[row, t].view(np.int64)), own.column("vkey").take(take), packed.take(take)],
+                            ["group", "asks", "bits", "rest", "vkey", "packed"],
                         )
 
-    return index.select("vkey", "asks", "vector").mapInArrow(run, "dim int, tree int, bits long, vkey long, asks boolean, packed binary")
-
-
-def prefix_ranges(bits: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the queries at positions ``at`` of a sorted array: the range of the longest prefix they share with at least
-    ``window`` entries, cut to the ``window`` nearest in order on either side."""
-    window = min(window, len(bits))
-    low, high = at.copy(), at + 1
-    open_ = np.ones(len(at), bool)
-    for level in range(DEPTH + 1):
-        short = bits[at[open_]] >> level
-        low[open_] = np.searchsorted(bits, short << level, "left")
-        high[open_] = np.searchsorted(bits, (short + 1) << level, "left")
-        open_ = high - low < window
-        if not open_.any():
-            break
-    return np.maximum(low, at - window), np.minimum(high, at + window + 1)
-
-
-def _search_slice(bits: np.ndarray, vkey: np.ndarray, asks: np.ndarray, vectors: np.ndarray, window: int, k: int):
-    at = np.flatnonzero(asks)
-    low, high = prefix_ranges(bits, at, window)
-    for q, a, b in zip(at, low, high):
-        score = vectors[a:b] @ vectors[q]
-        if len(score) > k + 1:
-            least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-            near = np.flatnonzero(score >= least)
-        else:
-            near = np.arange(len(score))
-        near = near[np.lexsort((vkey[a:b][near], -score[near]))][: k + 1]
-        yield vkey[q], vkey[a:b][near], score[near]
-
-
-def _search(forest: DataFrame, window: int, k: int, element: np.dtype) -> DataFrame:
-    """Per query vector and tree: the best ``k + 1`` entries of its range."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        dim, tree, bits, vkey, asks = (table[c].to_numpy() for c in ("dim", "tree", "bits", "vkey", "asks"))
-        packed = table["packed"].combine_chunks()
-        edges = np.flatnonzero((np.diff(dim, prepend=-1) != 0) | (np.diff(tree, prepend=-1) != 0)).tolist() + [len(dim)]
-        for a, b in zip(edges, edges[1:]):
-            vectors = np.frombuffer(b"".join(packed[a:b].to_pylist()), element).reshape(b - a, dim[a]).astype(np.float64)
-            found = list(_search_slice(bits[a:b], vkey[a:b], asks[a:b], vectors, window, k))
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found])), pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))],
-                    ["asker", "vkey", "score"],
-                )
-
-    return forest.mapInArrow(run, "asker long, vkey long, score double")
-
-
-def nearest(rows: DataFrame, is_query: Column, k: int = 20, trees: int = TREES, window: int = WINDOW, seed: int = 31, slice_rows: int = SLICE_ROWS, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    return index.select("vkey", "asks", "vector").mapInArrow(run, "group int, asks boolean, bits long, rest long, vkey long, packed binary")
+
+
+def _search(forest: DataFrame, plan: dict[int, Trees], k: int, element: np.dtype) -> DataFrame:
+    """Per query vector and slice: the best ``k + 1`` entries of its window."""
+
+    def run(table: pa.Table) -> pa.Table:
+        group = table["group"][0].as_py()
+        dim = max((d for d in plan if plan[d].base <= group), key=lambda d: plan[d].base)
+        tree = (group - plan[dim].base) // plan[dim].slices
+        bits, rest, vkey, asks = (table[c].to_numpy() for c in ("bits", "rest", "vkey", "asks"))
+        keys, packed = strings(bits, rest.view(np.uint64)), table["packed"].combine_chunks()
+        entries, queries = np.flatnonzero(~asks), np.flatnonzero(asks)
+        entries = entries[np.argsort(keys[entries], kind="stable")]
+        read = lambda at: np.frombuffer(b"".join(packed.take(pa.array(at)).to_pylist()), element).reshape(len(at), dim)
+        vectors, asked, ids = read(entries).astype(np.float64), read(queries), vkey[entries]
+        first, last = plan[dim].reach(tree, keys[queries])
+        low, high = np.searchsorted(keys[entries], first, "left"), np.searchsorted(keys[entries], last, "right")
+        found: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for q, v, a, b in zip(vkey[queries], asked, low, high):
+            score = vectors[a:b] @ v.astype(np.float64)
+            if len(score) > k + 1:
+                least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+                near = np.flatnonzero(score >= least)
+            else:
+                near = np.arange(len(score))
+            near = near[np.lexsort((ids[a:b][near], -score[near]))][: k + 1]
+            found.append((np.full(len(near), q), ids[a:b][near], score[near]))
+        return pa.table(dict(zip(("asker", "vkey", "score"), map(np.concatenate, zip(*found)))))
+
+    return forest.groupBy("group").applyInArrow(run, "asker long, vkey long, score double")
+
+
+def nearest(rows: DataFrame, is_query: Column, k: int = 20, trees: int = TREES, window: int = WINDOW, share: float = SHARE, seed: int = 31, slice_rows: int = SLICE_ROWS, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of the ``k`` nearest found for every query row."""
     usable = rows.where(_usable(F.col(vector))).select(key, vector, is_query.alias("_asks"))
     element = np.dtype(np.float32 if usable.schema[vector].dataType.elementType.simpleString() == "float" else np.float64)
     distinct = distinct_vectors(usable, k, key, vector)
     index = materialize(distinct, "forest-index")
-    slices = max(1, -(-index.count() * trees // slice_rows))
-    forest = _forest(index, trees, seed).repartitionByRange(slices, "dim", "tree", "bits").sortWithinPartitions("dim", "tree", "bits", "vkey")
-    hits = _search(forest, window, k, element).groupBy("asker", "vkey").agg(F.max("score").alias("score"))
+    plan, groups = plan_trees(index, trees, window, share, seed, slice_rows)
+    forest = _forest(index, plan, trees, seed).repartition(max(1, groups), "group")
+    hits = _search(forest, plan, k, element).groupBy("asker", "vkey").agg(F.max("score").alias("score"))
     order = Window.partitionBy("asker").orderBy(F.desc("score"), "vkey")
     best = hits.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k + 1)
     named = best.join(index.select("vkey", "ids"), "vkey").select("asker", "score", F.explode("ids").alias("id"))

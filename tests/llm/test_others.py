@@ -54,6 +54,20 @@ def test_nearest(spark):
             assert score == pytest.approx(float(np.dot(np.array(vectors[q]), np.array(vectors[key]))), abs=1e-12)
 
 
+def test_nearest_in_a_jittered_cluster(spark):
+    rng = np.random.default_rng(2)
+    near = rng.standard_normal(16) + 1e-3 * rng.standard_normal((8000, 16))
+    near = np.float32(near / np.linalg.norm(near, axis=1)[:, None])
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(near)]
+    found: dict[int, set] = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 200 == 0, window=100, slice_rows=1000).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    score = near[::200].astype(np.float64) @ near.astype(np.float64).T
+    score[np.arange(40), np.arange(0, 8000, 200)] = -1
+    want = np.argsort(-score, axis=1)[:, :20]
+    assert sum(len(found[200 * k] & set(w.tolist())) for k, w in enumerate(want)) >= 0.9 * want.size
+
+
 def test_nearest_small_and_empty(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [0.0, 2.0])], VECTORS)
     found = [tuple(r) for r in neighbours.nearest(few, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
