@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bpe, fertility, jaccard, language, mixing, neighbours, pii, quality, substrings, urls
+from . import bpe, centroids, divergence, fertility, jaccard, language, mixing, neighbours, pii, quality, substrings, toxicity, urls
+from .oracles import ORACLES  # noqa: F401
 from .tables import fold, table
 
 #: The host and path rules of the URL query.
@@ -71,6 +72,21 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    scored = toxicity.toxicity_scores(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_language_id": op2_language_id,
@@ -82,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_neighbours": op10_neighbours,
+    "op11_centroids": op11_centroids,
+    "op12_toxicity": op12_toxicity,
+    "op13_divergence": op13_divergence,
 }
-
-ORACLES: dict[str, str] = {}
