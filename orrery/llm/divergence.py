@@ -1,12 +1,13 @@
 """Source divergence audit by chunk factorization.
 
 A chunk is a run without ASCII white space, a term a run of letters in it (all non-ASCII characters count as letters),
-A-Z lower-cased; so terms never cross chunks. Tasks count the chunks of their documents. All rows of a chunk meet in one
-bucket, where each distinct chunk is split into terms once, and its terms take over the chunk's rows. What is left is a
-table of (language, source, term) counts.
+A-Z lower-cased; so terms never cross chunks. Documents are dealt by language and source, a large source in many cells,
+and each cell's chunks are counted, so that counts add up before they travel. All rows of a chunk meet in one bucket,
+where each distinct chunk is split into terms once, and its terms take over the chunk's rows. What is left is a table of
+(language, source, term) counts.
 
 A language keeps the terms of at least ``min_docs`` of its documents. For that, a count row names its document; where
-``min_docs`` documents of one (language, source) share a chunk or term, one row without a document stands for them all,
+``min_docs`` documents of a language share a chunk or term, rows without a document stand for them, one for each source,
 because more need not be known. Nothing is cut off: every other document is named until the last sum.
 
 Every kept term has in every group (a language and source, or a whole language) the scaled smoothed share
@@ -42,34 +43,39 @@ from .textops import Words, chunks
 SCALE = 10**9
 #: The shape of a term: what is not ASCII, or an ASCII letter.
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-HELD_ROWS = 1_000_000
-BUCKET_BYTES = 24 << 20
+HELD_ROWS = 500_000
+CELL_BYTES = 32 << 20
+BUCKET_BYTES = 12 << 20
 BLOCK_ROWS = 200_000
 MANY = -1  # stands for ``min_docs`` documents or more
 
 
-def _settle(key: np.ndarray, group: np.ndarray, doc: np.ndarray, n: np.ndarray, min_docs: int) -> tuple[np.ndarray, ...]:
-    """Rows of (key, group, document) with their sums; where there are ``min_docs`` documents, one row instead.
-
-    Also the place of each result's first input row.
+def _settle(key: np.ndarray, code: np.ndarray, doc: np.ndarray, n: np.ndarray, min_docs: int, by_doc: bool = False) -> tuple[np.ndarray, ...]:
+    """Rows of (key, code, document) with their sums; where a language (the high bits of the code) has ``min_docs``
+    documents for a key, one row for each code instead. Also the place of each result's first input row. ``by_doc``: the
+    rows are in order of code and document.
     """
-    order = np.lexsort((doc, group, key))
-    key, group, doc, n = key[order], group[order], doc[order], n[order]
-    change = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
-    fresh = np.concatenate([[True], change | (doc[1:] != doc[:-1])]) if len(key) else np.zeros(0, bool)
-    at = np.flatnonzero(fresh)
-    if not len(at):
-        return key, group, doc, n, order
+    order = np.argsort(key, kind="stable") if by_doc else np.lexsort((doc, code, key))
+    key, code, doc, n = key[order], code[order], doc[order], n[order]
+    if not len(key):
+        return key, code, doc, n, order
+
+    def starts(*columns: np.ndarray) -> np.ndarray:
+        new = np.ones(len(columns[0]), bool)
+        new[1:] = False
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
+    at = starts(key, code, doc)
     n = np.add.reduceat(n, at)
-    key, group, doc, order = key[at], group[at], doc[at], order[at]
-    run = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (group[1:] != group[:-1])]))
+    key, code, doc, order = key[at], code[at], doc[at], order[at]
+    run = starts(key, code >> 32)
     size = np.diff(run, append=len(key))
-    many = (size >= min_docs) | (doc[run] == MANY)
-    total = np.add.reduceat(n, run)
-    keep = ~np.repeat(many, size)
-    keep[run[many]] = True
-    doc[run[many]], n[run[many]] = MANY, total[many]
-    return key[keep], group[keep], doc[keep], n[keep], order[keep]
+    many = np.repeat((size >= min_docs) | np.logical_or.reduceat(doc == MANY, run), size)
+    doc = np.where(many, MANY, doc)
+    at = starts(key, code, doc)
+    return key[at], code[at], doc[at], np.add.reduceat(n, at), order[at]
 
 
 def _strings(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -86,15 +92,15 @@ def _doc_column(doc: np.ndarray) -> pa.Array:
 
 
 def _counted(docs: DataFrame, min_docs: int) -> DataFrame:
-    """``chunk``, ``_group``, ``doc``, ``n``: the chunks of each task's documents, a stretch of documents at a time."""
+    """``chunk``, ``_code``, ``doc``, ``n``: the chunks of each task's documents, a stretch of documents at a time."""
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         known = pa.chunked_array([h[4] for h in held])
         shift = np.cumsum([0] + [len(h[4]) for h in held[:-1]])
         word = np.concatenate([h[5] + s for h, s in zip(held, shift)])
-        key, group, doc, n, first = _settle(*(np.concatenate([h[k] for h in held]) for k in range(4)), min_docs)
+        key, code, doc, n, first = _settle(*(np.concatenate([h[k] for h in held]) for k in range(4)), min_docs)
         text = known.take(pa.array(word[first])).combine_chunks().cast(pa.string())
-        whole = pa.RecordBatch.from_arrays([text, pa.array(group.astype(np.int32)), _doc_column(doc), pa.array(n)], ["chunk", "_group", "doc", "n"])
+        whole = pa.RecordBatch.from_arrays([text, pa.array(code), _doc_column(doc), pa.array(n)], ["chunk", "_code", "doc", "n"])
         for k in range(0, whole.num_rows, 100_000):
             yield whole.slice(k, 100_000)
 
@@ -102,15 +108,16 @@ def _counted(docs: DataFrame, min_docs: int) -> DataFrame:
         held, rows = [], 0
         for batch in batches:
             for part in chunks(batch, "_text"):
+                part = part.sort_by([("_code", "ascending"), ("_doc", "ascending")])
                 words = Words(part.column("_text"))
                 doc = words.doc()
-                group = part.column("_group").to_numpy()[doc].astype(np.int64)
-                key, group, doc, n, first = _settle(words.hashes(), group, part.column("_doc").to_numpy()[doc], np.ones(len(doc), np.int64), min_docs)
+                code = part.column("_code").to_numpy()[doc]
+                key, code, doc, n, first = _settle(words.hashes(), code, part.column("_doc").to_numpy()[doc], np.ones(len(doc), np.int64), min_docs, True)
                 if not len(key):
                     continue
                 head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                 text = _strings(words.raw, words.start[first[head]], words.end[first[head]])
-                held.append((key, group, doc, n, text, np.repeat(np.arange(len(head)), np.diff(head, append=len(key)))))
+                held.append((key, code, doc, n, text, np.repeat(np.arange(len(head)), np.diff(head, append=len(key)))))
                 rows += len(key)
                 if rows >= HELD_ROWS:
                     yield from flush(held)
@@ -118,7 +125,7 @@ def _counted(docs: DataFrame, min_docs: int) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return docs.mapInArrow(run, "chunk string, _group int, doc long, n long")
+    return docs.mapInArrow(run, "chunk string, _code long, doc long, n long")
 
 
 def split_chunks(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -139,7 +146,7 @@ def split_chunks(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 
 def _terms(counted: DataFrame, buckets: int, min_docs: int) -> DataFrame:
-    """``term``, ``_group``, ``doc``, ``n``: each distinct chunk split once, in its bucket, and joined with its rows."""
+    """``term``, ``_code``, ``doc``, ``n``: each distinct chunk split once, in its bucket, and joined with its rows."""
 
     def run(table: pa.Table) -> pa.Table:
         coded = table["chunk"].combine_chunks().dictionary_encode()
@@ -150,20 +157,24 @@ def _terms(counted: DataFrame, buckets: int, min_docs: int) -> DataFrame:
         row = np.repeat(np.arange(len(chunk)), many)
         place = np.repeat(first[:-1][chunk] - np.cumsum(many) + many, many) + np.arange(len(row))
         term = pa.array(terms, pa.string()).dictionary_encode()
-        group, n = table["_group"].to_numpy().astype(np.int64), table["n"].to_numpy()
+        code, n = table["_code"].to_numpy(), table["n"].to_numpy()
         doc = pc.fill_null(table["doc"], MANY).to_numpy()
-        key, group, doc, n, _ = _settle(term.indices.to_numpy().astype(np.int64)[place], group[row], doc[row], n[row] * times[place], min_docs)
-        return pa.table({"term": term.dictionary.take(pa.array(key)), "_group": pa.array(group.astype(np.int32)), "doc": _doc_column(doc), "n": pa.array(n)})
+        key, code, doc, n, _ = _settle(term.indices.to_numpy().astype(np.int64)[place], code[row], doc[row], n[row] * times[place], min_docs)
+        return pa.table({"term": term.dictionary.take(pa.array(key)), "_code": pa.array(code), "doc": _doc_column(doc), "n": pa.array(n)})
 
     bucket = F.pmod(F.xxhash64(F.lit(41), "chunk"), F.lit(buckets)).cast("int")
     dealt = counted.withColumn("_bucket", bucket).groupBy("_bucket")
-    return dealt.applyInArrow(run, "term string, _group int, doc long, n long")
+    return dealt.applyInArrow(run, "term string, _code long, doc long, n long")
 
 
-def group_table(docs: DataFrame, lang: str, source: str) -> DataFrame:
-    """Every occurring language and source, numbered."""
-    each = docs.select(F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source")).distinct()
-    return materialize(each.withColumn("_group", F.row_number().over(Window.orderBy("lang", "source"))), "divergence-groups")
+def group_table(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
+    """Every occurring language and source: ``_group`` numbers them, ``_code`` has the language's number above it."""
+    each = docs.groupBy(F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source")).agg(
+        F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("size")
+    )
+    number = F.row_number().over(Window.orderBy("lang", "source"))
+    code = F.shiftleft(F.dense_rank().over(Window.orderBy("lang")).cast("long"), 32) + number
+    return materialize(each.select("lang", "source", "size", number.alias("_group"), code.alias("_code")), "divergence-groups")
 
 
 def kept_terms(docs: DataFrame, groups: DataFrame, min_docs: int = 3, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -173,14 +184,16 @@ def kept_terms(docs: DataFrame, groups: DataFrame, min_docs: int = 3, text: str
         F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(lang, F.lit("")).alias("_lang"), F.coalesce(source, F.lit("")).alias("_source"),
         F.monotonically_increasing_id().alias("_doc"),
     )
-    size = named.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
-    known = groups.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "_group")
-    rows = named.join(known, ["_lang", "_source"]).select("_text", "_group", "_doc")
+    known = groups.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "_code", F.ceil(F.col("size") / CELL_BYTES).alias("_cells"))
+    cell = F.pmod(F.xxhash64(F.lit(47), "_doc"), F.greatest("_cells", F.lit(1)))
+    rows = named.join(known, ["_lang", "_source"]).where("_text <> ''").select("_text", "_code", "_doc", cell.alias("_cell"))
+    rows = rows.repartition("_code", "_cell").select("_text", "_code", "_doc")
+    size = groups.agg(F.sum("size").alias("n")).first()["n"] or 0
     dealt = _terms(_counted(rows, min_docs), max(1, -(-size // BUCKET_BYTES)), min_docs).repartition("term")
     # The deal by term serves all that follows: documents, groups, languages.
-    by_doc = dealt.groupBy("term", "_group", "doc").agg(F.sum("n").alias("n"))
-    by_group = by_doc.groupBy("term", "_group").agg(F.sum("n").alias("n"), F.count("doc").alias("docs"), F.bool_or(F.col("doc").isNull()).alias("many"))
-    placed = by_group.join(groups.select("_group", "lang"), "_group")
+    by_doc = dealt.groupBy("term", "_code", "doc").agg(F.sum("n").alias("n"))
+    by_group = by_doc.groupBy("term", "_code").agg(F.sum("n").alias("n"), F.count("doc").alias("docs"), F.bool_or(F.col("doc").isNull()).alias("many"))
+    placed = by_group.join(groups.select("_group", "_code", "lang"), "_code")
     inside = Window.partitionBy("term", "lang")
     held = placed.select(
         "lang", "_group", "term", "n",
@@ -192,7 +205,9 @@ def kept_terms(docs: DataFrame, groups: DataFrame, min_docs: int = 3, text: str
 
 
 def _share(count: str, whole: str, terms: str) -> Column:
-    return F.expr(f"1 + (cast({count} as decimal(20,0)) + 1) * {SCALE} div (cast({whole} as decimal(20,0)) + {terms})")
+    """The scaled smoothed share; in decimals where ``SCALE`` times the count would not fit a long."""
+    wide = f"(cast({count} as decimal(20,0)) + 1) * {SCALE} div (cast({whole} as decimal(20,0)) + {terms})"
+    return F.expr(f"1 + if({count} < {8 * SCALE}, ({count} + 1) * {SCALE}L div ({whole} + {terms}), {wide})")
 
 
 def _gap(p: str, q: str) -> Column:
@@ -204,7 +219,7 @@ def profiles(terms: DataFrame, groups: DataFrame) -> DataFrame:
     (``kept``), and ``p0``, the share of a kept term that the group lacks."""
     own = terms.groupBy("_group").agg(F.sum("n").alias("whole"))
     langs = terms.where("leads").groupBy("lang").agg(F.sum("total").alias("lang_whole"), F.count("*").alias("kept"))
-    rows = groups.join(own, "_group", "left").join(langs, "lang", "left").fillna(0, ["whole", "lang_whole", "kept"])
+    rows = groups.drop("size", "_code").join(own, "_group", "left").join(langs, "lang", "left").fillna(0, ["whole", "lang_whole", "kept"])
     p0 = F.when(F.col("kept") > 0, _share("0", "whole", "nullif(kept, 0)"))
     return materialize(rows.withColumn("p0", F.coalesce(p0, F.lit(1).cast("long"))), "divergence-profiles")
 
@@ -261,7 +276,7 @@ def source_divergence(docs: DataFrame, min_docs: int = 3, top_terms: int = 200,
     Part ``pair``: every other source of the language, by divergence from it. Part ``term``: the ``top_terms`` terms whose
     share in the source is furthest above the language's.
     """
-    numbered = group_table(docs, lang, source)
+    numbered = group_table(docs, text, lang, source)
     terms = kept_terms(docs, numbered, min_docs, text, lang, source)
     groups = profiles(terms, numbered)
     pairs = pair_values(terms, groups).join(groups.select(F.col("_group").alias("_other"), F.col("source").alias("item")), "_other").select("_group", F.lit("pair").alias("part"), "item", "value")
