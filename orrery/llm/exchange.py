@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textops import release
+
 CELL_BYTES = 8 << 20
 CELL_DOCS = 16_384
 REST_BITS = 30  # hash bits beside the bucket; the two lowest of 32 carry flags
@@ -76,6 +78,7 @@ def answer(blobs: DataFrame, decide: Callable[[np.ndarray, np.ndarray], np.ndarr
     it returns the answer's flags for each hash, 255 to stay silent. Cells get the hashes they sent, as ``BLOBS``."""
 
     def run(table: pa.Table) -> pa.Table:
+        release()
         cells, packed = table["_cell"].to_numpy(), table["packed"].to_pylist()
         parts = [unpack(p) for p in packed]
         source = np.repeat(np.arange(len(parts), dtype=np.uint64), [len(p) for p in parts])

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .exchange import BLOBS, Layout, answer, blob_table, lookup
 from .graph import components
-from .textops import Words, chunks, mix64, spans_per_doc, window_hashes
+from .textops import Words, chunks, mix64, release, spans_per_doc, window_hashes
 
 ROUNDS = 3
 
@@ -106,6 +106,7 @@ def _send_counts(layout: Layout, width: int):
     """Blobs of a cell's shingles, flagged with the number of its sets that hold each: 1, 2 or more (3)."""
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        release()
         if not table.num_rows or not told.num_rows:
             return blob_table([])
         _, shingle, _ = _sets(table, told, width)
@@ -128,6 +129,7 @@ def _send_prefixes(layout: Layout, width: int, percent: int):
     """Per set: its size, its shingles that no other set has, and, if others share its rarest ones, those and all."""
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        release()
         out: dict[str, list] = {"sig": [], "n": [], "lone": [], "prefix": [], "tokens": []}
         if table.num_rows and told.num_rows:
             sig, shingle, first = _sets(table, told, width)

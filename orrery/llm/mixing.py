@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MAX_BLOCKS = 4096
 LATER = 64
 WEIGHTS = (3, 1, 2)
@@ -109,61 +111,79 @@ def _cut(rows: pd.DataFrame) -> tuple[int, list[int]]:
     return (int(units.index[head - 1]) if head else -(1 << 63)), later
 
 
-def mix(docs: DataFrame, shards: int = 16, seed: int = 23, key: str = "doc_id", source: str = "source", size: str = "size", block_docs: int = 256, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+def mix(docs: DataFrame, shards: int = 16, seed: int = 23, key: str = "doc_id", source: str = "source", size: str = "size", block_docs: int = 256, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, sized: DataFrame | None = None) -> DataFrame:
     """Each row with its columns and ``source_size``, ``target`` and ``copies``: an array of (``pass``, ``shard``), an
     element for each time the mixture takes the document. ``size`` names the column with a document's words.
+
+    ``sized`` may hold key, source and size of the same rows; then only it is read for planning, and ``docs`` needs no
+    size. Columns of the input named like an added one give way to it.
     """
     spark = docs.sparkSession
-    held = docs.withColumns({"_cell": F.pmod(F.xxhash64(F.lit(seed), key), F.lit(MAX_BLOCKS)), "place": F.xxhash64(F.lit(seed + 1), key)})
-    cells = held.groupBy(source, "_cell").agg(F.sum(size).alias("words"), F.count("*").alias("docs"))
-    sizes = cells.groupBy(source).agg(F.sum("words").alias("source_size"), F.sum("docs").alias("docs")).toPandas()
-    names = [None if pd.isna(s) else s for s in sizes[source]]
+    docs = docs.drop("source_size", "target", "copies")
+
+    def held(df: DataFrame) -> DataFrame:
+        return df.withColumns({"_mix_cell": F.pmod(F.xxhash64(F.lit(seed), key), F.lit(MAX_BLOCKS)), "_mix_place": F.xxhash64(F.lit(seed + 1), key)})
+
+    sized = held((docs if sized is None else sized).select(key, F.col(source).alias("_mix_from"), F.col(size).alias("_mix_size"))).drop(key)
+    cells = sized.groupBy("_mix_from", "_mix_cell").agg(F.sum("_mix_size").alias("words"), F.count("*").alias("docs"))
+    sizes = cells.groupBy("_mix_from").agg(F.sum("words").alias("source_size"), F.sum("docs").alias("docs")).toPandas()
+    names = [None if pd.isna(s) else s for s in sizes["_mix_from"]]
     order = sorted(range(len(names)), key=lambda k: (names[k] is None, names[k] or ""))
     sizes = sizes.iloc[order].reset_index(drop=True).assign(source_no=range(len(names)))
     target = targets(sizes["source_size"].tolist(), [weights[k % len(weights)] for k in range(len(names))], share, most)
     blocks = np.clip(sizes["docs"] // block_docs, 1, MAX_BLOCKS).astype(int)
     known = spark.createDataFrame(
         [(names[k], no, int(z), float(t), int(b)) for no, (k, z, t, b) in enumerate(zip(order, sizes["source_size"], target, blocks))],
-        "_source string, source_no int, source_size long, target double, _blocks int",
+        "_mix_source string, _mix_no int, source_size long, target double, _mix_blocks int",
     )
     known = F.broadcast(known)  # a row per source, as collected above
 
-    def placed(df: DataFrame) -> DataFrame:
-        joined = df.join(known, df[source].eqNullSafe(F.col("_source")))
-        return joined.withColumn("block", F.floor(F.col("_cell") * F.col("_blocks") / MAX_BLOCKS).cast("int")).drop("_source", "_blocks", "_cell")
+    def placed(df: DataFrame, source: str = "_mix_from") -> DataFrame:
+        joined = df.join(known, df[source].eqNullSafe(F.col("_mix_source")))
+        return joined.withColumn("_mix_block", F.floor(F.col("_mix_cell") * F.col("_mix_blocks") / MAX_BLOCKS).cast("int")).drop("_mix_source", "_mix_blocks", "_mix_cell")
 
-    words = placed(cells).groupBy("source_no", "block").agg(F.sum("words").alias("words")).toPandas()
+    words = placed(cells).groupBy(F.col("_mix_no").alias("source_no"), F.col("_mix_block").alias("block")).agg(F.sum("words").alias("words")).toPandas()
     plan = _plan(sizes, words, target, shards, seed)
-    partly = spark.createDataFrame([(int(k), int(b), int(r)) for k, b, _, r, _ in plan if r is not None], "source_no int, block int, rest long")
+    partly = spark.createDataFrame([(int(k), int(b), int(r)) for k, b, _, r, _ in plan if r is not None], "_mix_no int, _mix_block int, rest long")
 
     def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        at, later = _cut(rows)
-        return pd.DataFrame({"source_no": [rows["source_no"].iloc[0]], "block": [rows["block"].iloc[0]], "cut": [at], "later": [later]})
+        at, later = _cut(rows.rename(columns={"_mix_place": "place", "_mix_size": "_size"}))
+        return pd.DataFrame({"_mix_no": [rows["_mix_no"].iloc[0]], "_mix_block": [rows["_mix_block"].iloc[0]], "cut": [at], "later": [later]})
 
-    edge = placed(held.select(source, F.col(size).alias("_size"), "_cell", "place")).join(F.broadcast(partly), ["source_no", "block"])  # a block per source
-    cuts = {(r["source_no"], r["block"]): (r["cut"], r["later"]) for r in edge.groupBy("source_no", "block").applyInPandas(cut, "source_no int, block int, cut long, later array<long>").collect()}
+    edge = placed(sized).select("_mix_no", "_mix_block", "_mix_place", "_mix_size").join(F.broadcast(partly), ["_mix_no", "_mix_block"])  # a block per source
+    cuts = {(r["_mix_no"], r["_mix_block"]): (r["cut"], r["later"]) for r in edge.groupBy("_mix_no", "_mix_block").applyInPandas(cut, "_mix_no int, _mix_block int, cut long, later array<long>").collect()}
     taken: dict[tuple[int, int], list[tuple]] = {}
     for k, b, p, rest, shard in plan:
         at, later = (None, None) if rest is None else cuts[k, b]
         taken.setdefault((int(k), int(b)), []).append((int(p), shard, at, later))
-    slots = spark.createDataFrame([(*at, copies) for at, copies in taken.items()], "source_no int, block int, _slots array<struct<pass:int,shard:int,cut:bigint,later:array<bigint>>>")
-    rows = placed(held).join(F.broadcast(slots), ["source_no", "block"], "left")  # a row per block
+    slots = spark.createDataFrame([(*at, copies) for at, copies in taken.items()], "_mix_no int, _mix_block int, _mix_slots array<struct<pass:int,shard:int,cut:bigint,later:array<bigint>>>")
+    rows = placed(held(docs), source).join(F.broadcast(slots), ["_mix_no", "_mix_block"], "left")  # a row per block
 
     def gives(slot):
-        return slot["cut"].isNull() | (F.col("place") <= slot["cut"]) | F.array_contains(slot["later"], F.col("place"))
+        return slot["cut"].isNull() | (F.col("_mix_place") <= slot["cut"]) | F.array_contains(slot["later"], F.col("_mix_place"))
 
-    copies = F.transform(F.filter("_slots", gives), lambda s: F.struct(s["pass"].alias("pass"), s["shard"].alias("shard")))
+    copies = F.transform(F.filter("_mix_slots", gives), lambda s: F.struct(s["pass"].alias("pass"), s["shard"].alias("shard")))
     none = F.array().cast("array<struct<pass:int,shard:int>>")
     return rows.select(*docs.columns, "source_size", "target", F.coalesce(copies, none).alias("copies"))
 
 
-def mixture(docs: DataFrame, text: str = "text", seed: int = 23, **options) -> DataFrame:
+def sizes_of(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """Key, source and ``size`` in words of every row, stored: what planning a mixture needs of the texts."""
+    return materialize(docs.select(key, source, word_count(F.col(text)).alias("size")), "mixing-sizes")
+
+
+def mixture(docs: DataFrame, text: str = "text", seed: int = 23, key: str = "doc_id", source: str = "source", sized: DataFrame | None = None, **options) -> DataFrame:
     """The rows of the mixture: a document's columns once for each copy, with ``shard`` and ``shard_order``.
 
-    Columns of the input named like an added one give way to it.
+    Texts are read once for their sizes (unless ``sized`` has them already, see ``sizes_of``) and once for the result.
+    Columns of the input named like an added one give way to it; those named like an inner one (``_mix_...``) are not
+    supported.
     """
-    added = ["_words", "source_size", "target", "copies", "shard", "shard_order"]
-    rows = docs.drop(*added).withColumn("_words", word_count(F.col(text)))
-    taken = mix(rows, size="_words", seed=seed, **options).withColumn("_copy", F.explode("copies"))
-    place = F.xxhash64(F.lit(seed + 2), F.col("_copy.shard"), F.col("_copy.pass"), F.col(options.get("key", "doc_id")))
-    return taken.select(*rows.drop("_words").columns, F.col("_copy.shard").alias("shard"), place.alias("shard_order"))
+    kept = docs.drop("shard", "shard_order")
+    sized = sizes_of(docs, key, source, text) if sized is None else sized
+    given = [c for c in kept.columns if c in ("source_size", "target", "copies")]
+    rows = kept.withColumnsRenamed({c: f"_mix_in_{c}" for c in given})
+    taken = mix(rows, seed=seed, key=key, source=source, sized=sized, **options).withColumn("_mix_copy", F.explode("copies"))
+    place = F.xxhash64(F.lit(seed + 2), F.col("_mix_copy.shard"), F.col("_mix_copy.pass"), F.col(key))
+    own = [F.col(f"_mix_in_{c}").alias(c) if c in given else F.col(c) for c in kept.columns]
+    return taken.select(*own, F.col("_mix_copy.shard").alias("shard"), place.alias("shard_order"))

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from . import bpe, centroids, divergence, fertility, jaccard, language, mixing, neighbours, pii, quality, substrings, toxicity, urls
 from .oracles import ORACLES  # noqa: F401
 from .tables import fold, table
@@ -50,7 +49,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = materialize(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mixing-sizes")
+    sized = mixing.sizes_of(docs)
     taken = F.col("size") * F.size("copies")
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.transform("copies", lambda c: c["shard"]).alias("shards"))
 

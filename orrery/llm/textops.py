@@ -7,6 +7,7 @@ document, where that is longer), never the number of documents.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,16 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: workers live on between the stages of a job."""
+    if _powers and len(_powers[0]) > CHUNK_BYTES + 1:  # of a text longer than a chunk
+        _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and ``len + 1`` offsets into them; null reads as the empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -80,6 +91,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+    release()
 
 
 class Words:

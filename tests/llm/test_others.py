@@ -151,6 +151,30 @@ def test_pipeline(spark, sample_dir):
     assert last.count() == mixed.count()
 
 
+def test_near_duplicates_keep_other_texts_of_an_id(spark, sample_dir):
+    a = " ".join(f"w{k}" for k in range(200))
+    b = " ".join(f"v{k}" for k in range(50))
+    rows = [(1, a, "x", "s", 1), (5, b, "x", "s", 1), (5, a + " more", "x", "s", 1), (6, b, "x", "s", 1), (6, b, "w", "s", 1), (7, "", None, None, 0), (7, "", None, None, 0), (None, a, "x", "s", 1), (None, a, "x", "s", 1)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    kept = sorted(map(tuple, corpus_pipeline.keep_distinct(spark, docs, sample_dir).collect()), key=str)
+    assert kept == sorted([rows[0], rows[1], rows[5]] + [rows[7]] * 4, key=str)
+
+
+def test_pipeline_stages_with_other_columns_and_nulls(spark, sample_dir):
+    """Columns named like those the operators make, null ids and texts: every stage passes them through unchanged."""
+    docs = spark.read.parquet(f"{sample_dir}/documents.parquet").limit(60)
+    docs = docs.unionByName(docs.limit(3).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit(None).cast("string")}))
+    names = ("place", "block", "source_no", "target", "copies", "source_size", "size", "component_id", "n_shingles", "n_pii", "_words")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sample_dir)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            own = "none" if r["doc_id"] is None else str(r["doc_id"])
+            assert all(r[c] == f"{c}-{own}" for c in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sample_dir).count() == docs.count()
+
+
 def test_pipeline_stages_on_empty_tables(spark, sample_dir):
     none = spark.read.parquet(f"{sample_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

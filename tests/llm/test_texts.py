@@ -183,6 +183,15 @@ def test_mixing(spark):
     assert mixing.mixture(docs.limit(0)).count() == 0
 
 
+def test_mixing_keeps_columns_with_inner_names(spark):
+    rows = [(k, "a b c", "s" if k % 2 else "t", f"p{k}", f"b{k}", f"n{k}", f"c{k}") for k in range(40)]
+    docs = frame(spark, rows, "doc_id long, text string, source string, place string, block string, source_no string, target string")
+    mixed = mixing.mixture(docs).collect()
+    assert mixed and {tuple(r[c] for c in docs.columns) for r in mixed} <= set(rows)
+    sized = docs.withColumn("size", F.lit(3).cast("long"))
+    assert mixing.mix(sized).columns == ["doc_id", "text", "source", "place", "block", "source_no", "size", "source_size", "target", "copies"]
+
+
 def test_targets_reshare_excess():
     assert mixing.targets([10, 100, 10], [3, 1, 2]) == [20.0, 140.0, 20.0]
     assert mixing.targets([], []) == []
