@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.llm import bpe, jaccard, mixing, pii, quality
@@ -24,15 +24,21 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, with the smallest id, of each group connected by five-word Jaccard similarity of 0.8 or more.
 
-    Documents without words are in no group and stay, and so do rows with a null id. Of rows with one id one stays.
+    Documents without words are in no group and stay, and so do rows with a null id. Rows of one id with different texts
+    are different documents, the smaller hash of the text first; of rows with the same id and text one stays, the first
+    by its other columns.
     """
-    groups = materialize(jaccard.jaccard_groups(docs, width=5, percent=80), "pipeline-groups")
-    kept = docs.join(groups.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once)
+        groups = materialize(jaccard.jaccard_groups(docs, width=5, percent=80), "pipeline-groups")
+        return docs.join(groups.where("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    paired = docs.withColumn("_pair", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    groups = materialize(jaccard.jaccard_groups(paired, width=5, percent=80, key="_pair"), "pipeline-groups")
+    named = groups.where("_pair is not null").join(paired.select("_pair", "doc_id").distinct(), "_pair")
+    leaders = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_pair")).alias("lead")).select("lead._pair")
+    first = Window.partitionBy("_pair").orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")))
+    kept = paired.join(leaders, "_pair", "left_semi").withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return kept.select(*docs.columns).unionAll(docs.where("doc_id is null"))
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +47,9 @@ def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture, a row for each time it takes a document, in shards and in order within them."""
-    words = docs.agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).first()["n"] or 0
-    mixed = mixing.mixture(docs, shards=max(16, words // SHARD_WORDS))
+    sized = mixing.sizes_of(docs)  # the only pass over the texts beside the result's
+    words = sized.agg(F.sum("size").alias("n")).first()["n"] or 0
+    mixed = mixing.mixture(docs, shards=max(16, words // SHARD_WORDS), sized=sized)
     return mixed.repartition("shard").sortWithinPartitions("shard", "shard_order").select(*docs.columns)
 
 
