@@ -12,10 +12,17 @@ from orrery.session import materialize
 
 QUALITY_AT_LEAST = 0.3
 SHARD_WORDS = 2_000_000
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows handed to Python at once: texts are long, and 10,000 of them fill buffers on both sides of every task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; empty and null texts have the model's prior score."""
+    small_batches(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"), F.lit(True))
     scored = quality.quality_scores(docs, model, keep=tuple(docs.columns), score="_score")
     return scored.where(F.col("_score") >= QUALITY_AT_LEAST).select(*docs.columns)
@@ -28,6 +35,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     are different documents, the smaller hash of the text first; of rows with the same id and text one stays, the first
     by its other columns.
     """
+    small_batches(spark)
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         groups = materialize(jaccard.jaccard_groups(docs, width=5, percent=80), "pipeline-groups")
@@ -42,6 +50,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pii.mask_pii(docs, pii.train(docs))
 
 
@@ -54,6 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.bpe_encode(docs, tokenizer_file("word_bpe_49k.json"))
 
 
