@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,22 +15,26 @@ LATEST = dt.date(2027, 12, 31)
 # Spellings with a month name, once commas, dots, hyphens and the weekday are gone; a time of day may follow.
 NAMED_PATTERNS = ("MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "d MMM yy", "yyyy MMM d")
 TIME_OF_DAY = "[ h:mm[:ss] a][ H:mm[:ss]]"
-# Numeric spellings turned into year-month-day, which the plain cast understands
-# (with or without a time of day). A leading number that cannot be a month is the day;
-# two-digit years from 70 belong to the last century.
+# Numeric spellings turned into year-month-day, which the plain cast understands (with or without a time of day):
+# year first, year month day without separators, day first (a leading number that cannot be a month), month first.
+# Groups of the alternatives that do not match are empty. A leading ~ asks for the century of a two-digit year.
 NUMERIC_TURNS = (
-    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?!\d)", "$1-$2-$3"),
-    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.](\d{4})", "$3-$2-$1"),
-    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", "$3-$1-$2"),
-    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.]([0-6]\d)(?!\d)", "20$3-$2-$1"),
-    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.]([7-9]\d)(?!\d)", "19$3-$2-$1"),
-    (r"^(\d{1,2})[-/.](\d{1,2})[-/.]([0-6]\d)(?!\d)", "20$3-$1-$2"),
-    (r"^(\d{1,2})[-/.](\d{1,2})[-/.]([7-9]\d)(?!\d)", "19$3-$1-$2"),
-    (r"^(\d{4})(\d{2})(\d{2})(?=$|[ T])", "$1-$2-$3"),
+    (
+        r"^(?:(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?!\d)|(\d{4})(\d{2})(\d{2})(?=$|[ T])"
+        r"|(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.](\d{4}|\d\d(?!\d))|(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d\d(?!\d)))",
+        "~$1$4$9$12-$2$5$8$10-$3$6$7$11",
+    ),
 )
-_ZONE = r"(?i)\s*(UTC|GMT|(?<=\d)Z)$"
-_HALF_DAY = r"(?i)\s*([ap])\.?m\.?$"
-_WEEKDAY = r"(?i)^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?[,.]?\s+"
+_SUFFIX = r"(?i)\s*(?:([ap])\.?m\.?)?\s*(?:UTC|GMT|(?<=\d)Z)?$"
+_WEEKDAY_OR_BREAK = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?[,.]?\s+|[\s,./-]+"
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it.
+
+    The optimizer copies an expression to every place that mentions it; a lambda variable is a value.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def parse_date_flexible(
@@ -40,22 +44,46 @@ def parse_date_flexible(
 ) -> Column:
     """Timestamp from mixed date spellings (month first when ambiguous), null when unparseable.
 
-    ``named`` lists the patterns with a month name, ``turns`` the rewritings of numeric
-    dates. A text without a year is null, UTC and GMT at its end are left off.
-    Numeric dates are rearranged as text and cast: no formatter, no exception
-    for a bad value, and an expression small enough for code generation wherever
-    the optimizer copies it to.
+    ``named`` lists the patterns with a month name, ``turns`` the rewritings of numeric dates. A text without a year is
+    null, UTC and GMT at its end are left off; two-digit years from 70 belong to the last century. Numeric dates are
+    rearranged as text by one expression with a group for each part and cast: no formatter, no exception for a bad
+    value. Each step is bound to a variable, so a parse costs three replacements wherever it is copied to.
     """
-    text = F.regexp_replace(F.regexp_replace(F.trim(col), _ZONE, ""), _HALF_DAY, " $1m")
-    words = F.trim(F.regexp_replace(F.regexp_replace(text, _WEEKDAY, ""), r"[\s,./-]+", " "))
     patterns = "".join(f"[{p}]" for p in named) + TIME_OF_DAY
-    spelled = F.when(words.rlike(r"\d{4}|\p{L} ?\d\d\b"), F.try_to_timestamp(words, F.lit(patterns)))
-    numeric = text
-    for shape, turned in turns:
-        numeric = F.regexp_replace(numeric, shape, turned)
-    half_day = F.try_to_timestamp(numeric, F.lit("yyyy-M-d h:mm[:ss] a"))
-    dated = F.when(numeric.rlike(r"m$"), half_day).when(numeric.rlike(r"^\d{4}(-|$)"), numeric.try_cast("timestamp"))
-    return F.when(text.rlike("[A-Za-z]{3}"), spelled).otherwise(dated)
+    half_days = "yyyy-M-d h:mm[:ss] a"
+
+    def spelled(text: Column) -> Column:
+        def read(words: Column) -> Column:
+            return F.when(words.rlike(r"\d{4}|\p{L} ?\d\d\b"), F.try_to_timestamp(words, F.lit(patterns)))
+
+        return bound(F.trim(F.regexp_replace(text, _WEEKDAY_OR_BREAK, " ")), read)
+
+    def dated(text: Column) -> Column:
+        turned = text
+        for shape, parts in turns:
+            turned = F.regexp_replace(turned, shape, parts)
+
+        def read(day: Column) -> Column:
+            lead = F.translate(F.substring(day, 1, 5), "0123456789", "9999999999")
+            return F.when(F.endswith(day, F.lit("m")), F.try_to_timestamp(day, F.lit(half_days))).when(
+                lead.isin("9999", "9999-"), day.try_cast("timestamp")
+            )
+
+        def century(day: Column) -> Column:
+            year = F.when(F.substring(day, 4, 1) != "-", "").when(F.substring(day, 2, 1) < "7", "20").otherwise("19")
+            return F.when(F.startswith(day, F.lit("~")), F.concat(year, F.substr(day, F.lit(2)))).otherwise(day)
+
+        return bound(turned, lambda day: bound(century(day), read))
+
+    def half_day(text: Column) -> Column:
+        marked = F.right(text, F.lit(2)).isin("~a", "~p", "~A", "~P")
+        return F.when(marked, F.concat(F.substring_index(text, "~", 1), F.lit(" "), F.right(text, F.lit(1)), F.lit("m"))).otherwise(text)
+
+    def parse(text: Column) -> Column:
+        return F.when(text.rlike("[A-Za-z]{3}"), spelled(text)).otherwise(dated(text))
+
+    text = F.rtrim(F.regexp_replace(F.trim(col), _SUFFIX, "~$1"), F.lit("~"))  # what follows ~ is the half of the day
+    return bound(text, lambda t: bound(half_day(t), parse))
 
 
 def in_bounds(ts: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST) -> Column:
@@ -66,8 +94,7 @@ def in_bounds(ts: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST
 
 def clean_date(col: Column, earliest: dt.date = EARLIEST, latest: dt.date = LATEST) -> Column:
     """Date from mixed spellings; null when unparseable or out of bounds (compared with the time of day)."""
-    ts = parse_date_flexible(col)
-    return F.when(in_bounds(ts, earliest, latest), ts.cast("date"))
+    return bound(parse_date_flexible(col), lambda ts: F.when(in_bounds(ts, earliest, latest), ts.cast("date")))
 
 
 def month_offset(later: Column, earlier: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -9,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from orrery.functions.dates import EARLIEST, LATEST
 from orrery.operators.rejects import reject_counts, rejected_rows
 from orrery.plans.agency_model import build_agency_galaxy, build_dim_date_agency
 from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
@@ -16,6 +18,7 @@ from orrery.plans.attribution import attribution
 from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, Check, run_checks, verdict
 from orrery.plans.retail_model import (
     DEFAULT_EMAIL,
+    MAX_PRICE,
     SEQ,
     build_dim_customers,
     build_dim_date,
@@ -94,6 +97,9 @@ def store_retail(
     order: Sequence[str] = SEQ,
     default_email: str = DEFAULT_EMAIL,
     by_month: bool = True,
+    earliest: dt.date = EARLIEST,
+    latest: dt.date = LATEST,
+    max_price: float = MAX_PRICE,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build and publish the retail galaxy in three steps: dimensions, facts, calendar.
 
@@ -103,16 +109,16 @@ def store_retail(
     """
     dims, loaded_dims = _store(
         {
-            "dim_customers": build_dim_customers(raw["customers"], order, default_email),
-            "dim_products": build_dim_products(raw["products"]),
+            "dim_customers": build_dim_customers(raw["customers"], order, default_email, earliest, latest),
+            "dim_products": build_dim_products(raw["products"], max_price),
         },
         RETAIL, root, by_month,
     )
     customers, products = dims["dim_customers"], dims["dim_products"]
     facts, loaded_facts = _store(
         {
-            "fact_sales": build_fact_sales(raw["orders"], raw["order_items"], products, customers, order),
-            "fact_web_traffic": build_fact_web_traffic(raw["sessions"], customers),
+            "fact_sales": build_fact_sales(raw["orders"], raw["order_items"], products, customers, order, earliest, latest),
+            "fact_web_traffic": build_fact_web_traffic(raw["sessions"], customers, earliest, latest),
         },
         RETAIL, root, by_month,
     )
@@ -177,9 +183,12 @@ def _staging(out: str) -> str:
     return f"{out}/staged-{uuid.uuid4().hex[:12]}"
 
 
-def quarantine_retail(raw: dict[str, DataFrame], out: str, order: Sequence[str] = SEQ) -> DataFrame:
-    """Store the rejected rows of every raw table with their reason; returns the counts per rule."""
-    tagged = tag_retail_raw(raw, order)
+def quarantine_retail(raw: dict[str, DataFrame], out: str, order: Sequence[str] = SEQ, **limits) -> DataFrame:
+    """Store the rejected rows of every raw table with their reason; returns the counts per rule.
+
+    ``limits`` are those of ``tag_retail_raw``.
+    """
+    tagged = tag_retail_raw(raw, order, **limits)
     publish({name: rejected_rows(df).drop(*order) for name, df in tagged.items()}, out, layouts={})
     return reject_counts(**tagged)
 
@@ -193,6 +202,9 @@ def run_retail(
     quarantine: bool = False,
     by_month: bool = True,
     processed: bool = False,
+    earliest: dt.date = EARLIEST,
+    latest: dt.date = LATEST,
+    max_price: float = MAX_PRICE,
 ) -> bool:
     """Raw retail files to warehouse, validation report and results; True when all checks passed.
 
@@ -202,12 +214,14 @@ def run_retail(
     ``quarantine`` also stores the rejected rows and their counts per rule, which
     reads the raw files once more. ``by_month`` splits the facts into a folder per
     month; turn it off when a month is much smaller than a file should be.
+    ``earliest``, ``latest`` and ``max_price`` bound what counts as a valid date and price.
     """
     tables = read_retail_raw(spark, raw)
+    limits = {"earliest": earliest, "latest": latest, "max_price": max_price}
     if quarantine:
-        export_csv(quarantine_retail(tables, f"{out}/quarantine"), f"{out}/reject_counts")
+        export_csv(quarantine_retail(tables, f"{out}/quarantine", **limits), f"{out}/reject_counts")
     staged = _staging(out)
-    stored, _ = store_retail(tables, staged, default_email=default_email, by_month=by_month)
+    stored, _ = store_retail(tables, staged, default_email=default_email, by_month=by_month, **limits)
     return _check_and_publish(stored, RETAIL_CHECKS, retail_queries, staged, out, on_fail, processed=processed)
 
 

@@ -18,10 +18,8 @@ from orrery.functions.dates import (
     EARLIEST,
     LATEST,
     clean_date,
-    in_bounds,
     is_weekend,
     month_offset,
-    parse_date_flexible,
 )
 from orrery.functions.ratios import money
 from orrery.functions.text import (
@@ -60,21 +58,21 @@ SEQ = (ROW_ORDER,)
 
 # -- products ---------------------------------------------------------------
 
-def product_rules() -> list[Rule]:
+def product_rules(max_price: float = MAX_PRICE) -> list[Rule]:
     price = F.col("base_price")
     return [
-        ("bad_price", (price <= 0) | (price > MAX_PRICE)),
+        ("bad_price", (price <= 0) | (price > max_price)),
         ("missing_price", price.isNull()),
     ]
 
 
-def tag_products(raw: DataFrame) -> DataFrame:
-    return tag_rejects(raw, product_rules())
+def tag_products(raw: DataFrame, max_price: float = MAX_PRICE) -> DataFrame:
+    return tag_rejects(raw, product_rules(max_price))
 
 
-def build_dim_products(raw: DataFrame) -> DataFrame:
-    """Products with ``0 < price <= 5000``; all columns kept, no deduplication."""
-    kept = raw.filter((F.col("base_price") > 0) & (F.col("base_price") <= MAX_PRICE))
+def build_dim_products(raw: DataFrame, max_price: float = MAX_PRICE) -> DataFrame:
+    """Products with ``0 < price <= max_price``; all columns kept, no deduplication."""
+    kept = raw.filter((F.col("base_price") > 0) & (F.col("base_price") <= max_price))
     return kept.withColumns(
         {
             "product_name": default_then_strip(F.col("product_name"), DEFAULT_PRODUCT),
@@ -85,15 +83,21 @@ def build_dim_products(raw: DataFrame) -> DataFrame:
 
 # -- customers --------------------------------------------------------------
 
-def tag_customers(raw: DataFrame, order: Sequence[str] = SEQ) -> DataFrame:
+def tag_customers(
+    raw: DataFrame, order: Sequence[str] = SEQ, earliest: dt.date = EARLIEST, latest: dt.date = LATEST
+) -> DataFrame:
     """Every raw customer; repeats rejected, defaulted sign-up dates noted in ``signup_defaulted``."""
     flagged = flag_repeats(raw, ["customer_id"], order)
     tagged = tag_rejects(flagged, [("duplicate_customer", F.col("is_repeat"))]).drop("is_repeat")
-    return tagged.withColumn("signup_defaulted", clean_date(F.col("signup_date")).isNull())
+    return tagged.withColumn("signup_defaulted", clean_date(F.col("signup_date"), earliest, latest).isNull())
 
 
 def build_dim_customers(
-    raw: DataFrame, order: Sequence[str] = SEQ, default_email: str = DEFAULT_EMAIL
+    raw: DataFrame,
+    order: Sequence[str] = SEQ,
+    default_email: str = DEFAULT_EMAIL,
+    earliest: dt.date = EARLIEST,
+    latest: dt.date = LATEST,
 ) -> DataFrame:
     """One row per customer id: first row wins, then names, emails, countries and dates are cleaned."""
     first = keep_first(raw, ["customer_id"], order)
@@ -102,7 +106,7 @@ def build_dim_customers(
         title_case(default_then_strip(F.col("full_name"), DEFAULT_NAME)).alias("full_name"),
         F.lower(default_then_strip(F.col("email"), default_email)).alias("email"),
         map_values(default_then_strip(F.col("country"), DEFAULT_COUNTRY), COUNTRY_NAMES).alias("country"),
-        F.coalesce(clean_date(F.col("signup_date")), F.lit(DEFAULT_SIGNUP)).alias("signup_date"),
+        F.coalesce(clean_date(F.col("signup_date"), earliest, latest), F.lit(DEFAULT_SIGNUP)).alias("signup_date"),
     )
 
 
@@ -120,12 +124,6 @@ def sane_items(raw: DataFrame) -> DataFrame:
     return raw.filter((F.col("quantity") > 0) & (F.col("unit_price") > 0))
 
 
-def keep_dated(df: DataFrame, day: str, earliest: dt.date, latest: dt.date) -> DataFrame:
-    """Rows whose date text parses to an accepted date, with the text replaced by the date."""
-    ts = parse_date_flexible(F.col(day))
-    return df.filter(in_bounds(ts, earliest, latest)).withColumn(day, ts.cast("date"))
-
-
 def tag_orders(
     raw: DataFrame,
     dim_customers: DataFrame,
@@ -165,8 +163,9 @@ def build_fact_sales(
     Customers are joined to orders, not to lines: the inner join drops unknown
     customers and brings the sign-up date at once, on the smaller table.
     """
-    first = keep_first(orders, ["order_id"], order)
-    dated = keep_dated(first, "order_date", earliest, latest)
+    # Parsed before the ranking: the filter on the date can't pass it, so the text is parsed once, and the date is smaller.
+    parsed = orders.withColumn("order_date", clean_date(F.col("order_date"), earliest, latest))
+    dated = keep_first(parsed, ["order_id"], order).filter("order_date is not null")
     signups = dim_customers.select(F.col("customer_id").alias("_cust"), "signup_date")
     placed = dated.join(signups, F.col("customer_id").eqNullSafe(F.col("_cust"))).select(
         F.col("order_id").alias("_order"),
@@ -219,7 +218,7 @@ def build_fact_web_traffic(
 ) -> DataFrame:
     """Sessions of known customers with a valid date, pages and duration."""
     sane = raw.filter((F.col("pages_viewed") > 0) & (F.col("duration_seconds") >= 0))
-    dated = keep_dated(sane, "session_date", earliest, latest)
+    dated = sane.withColumn("session_date", clean_date(F.col("session_date"), earliest, latest)).filter("session_date is not null")
     return keep_referenced(dated, "customer_id", dim_customers).select(
         "session_id",
         "customer_id",
@@ -269,10 +268,11 @@ def build_retail_galaxy(
     default_email: str = DEFAULT_EMAIL,
     earliest: dt.date = EARLIEST,
     latest: dt.date = LATEST,
+    max_price: float = MAX_PRICE,
 ) -> dict[str, DataFrame]:
     """All five tables from the five raw ones, lazily."""
-    products = build_dim_products(raw["products"]).drop(*order)
-    customers = build_dim_customers(raw["customers"], order, default_email)
+    products = build_dim_products(raw["products"], max_price).drop(*order)
+    customers = build_dim_customers(raw["customers"], order, default_email, earliest, latest)
     sales = build_fact_sales(raw["orders"], raw["order_items"], products, customers, order, earliest, latest)
     traffic = build_fact_web_traffic(raw["sessions"], customers, earliest, latest)
     return {
@@ -284,16 +284,22 @@ def build_retail_galaxy(
     }
 
 
-def tag_retail_raw(raw: dict[str, DataFrame], order: Sequence[str] = SEQ) -> dict[str, DataFrame]:
+def tag_retail_raw(
+    raw: dict[str, DataFrame],
+    order: Sequence[str] = SEQ,
+    earliest: dt.date = EARLIEST,
+    latest: dt.date = LATEST,
+    max_price: float = MAX_PRICE,
+) -> dict[str, DataFrame]:
     """Every raw table with its ``reject_reason`` column: clean plus rejected rows add up to the input."""
-    customers = tag_customers(raw["customers"], order)
-    products = tag_products(raw["products"])
+    customers = tag_customers(raw["customers"], order, earliest, latest)
+    products = tag_products(raw["products"], max_price)
     # Deduplication never removes an id, so the raw customers name all known ones without being ranked again.
     known_customers, known_products = raw["customers"], clean_rows(products)
     return {
         "customers": customers,
         "products": products,
-        "orders": tag_orders(raw["orders"], known_customers, order),
+        "orders": tag_orders(raw["orders"], known_customers, order, earliest, latest),
         "order_items": tag_items(raw["order_items"], known_products),
-        "sessions": tag_sessions(raw["sessions"], known_customers),
+        "sessions": tag_sessions(raw["sessions"], known_customers, earliest, latest),
     }

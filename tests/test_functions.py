@@ -16,6 +16,8 @@ from orrery.functions.text import (
     strip,
     title_case,
 )
+from orrery.plans import retail_model
+from orrery.sources import samples
 
 DATES = {
     "2024-05-15": dt.date(2024, 5, 15),
@@ -67,6 +69,34 @@ def test_mixed_dates(spark):
     assert dict(zip(DATES, found)) == DATES
 
 
+def test_dates_that_are_none(spark):
+    values = ["98-02Z", "35-10", "24-1", "2024-01-01 3:00 p", "05/2024", "12:30", "m", "~p", "", None, "2024-13-01", "31/02/2024"]
+    assert _apply(spark, values, parse_date_flexible) == [None] * len(values)
+
+
+def test_half_days_zones_and_centuries(spark):
+    at = dt.datetime
+    want = {
+        "1/2/2024 3:04 PM": at(2024, 1, 2, 15, 4), "1/2/24 12:00 a.m.": at(2024, 1, 2), "2024-05-06 3:04:05pm GMT": at(2024, 5, 6, 15, 4, 5),
+        "11-11-11": at(2011, 11, 11), "31.12.99": at(1999, 12, 31), "20240203T101500Z": None, "2024-05-06T10:00:00Z": at(2024, 5, 6, 10),
+        "2024-05-06T10:00:00+02:00": at(2024, 5, 6, 8), "Thursday, 9 May 2024 3:00 pm": at(2024, 5, 9, 15), "20240203 10:15": at(2024, 2, 3, 10, 15),
+    }
+    assert dict(zip(want, _apply(spark, list(want), parse_date_flexible))) == want
+
+
+def test_a_date_is_parsed_once(spark, sample_dir):
+    """Few replacements in the plan however often the parsed date is used."""
+    raw = samples.retail_raw(spark, sample_dir)
+    galaxy = retail_model.build_retail_galaxy(raw)
+    for name, dates in (("dim_customers", 1), ("fact_sales", 2), ("fact_web_traffic", 1)):
+        plan = galaxy[name]._jdf.queryExecution().optimizedPlan().toString()
+        # Names, countries and statuses take some too.
+        assert plan.count("regexp_replace") <= 10 * dates + 6, name
+    text = spark.createDataFrame([("1/2/2024",)], "c string")
+    one = text.select(clean_date(F.col("c")).alias("d")).where("d > '2024-01-01' and year(d) = 2024")
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 10
+
+
 def test_date_patterns_are_parameters(spark):
     found = _apply(spark, ["3|5|2024", "May 3 2024"], lambda c: parse_date_flexible(
         c, named=("d MMMM yyyy",), turns=((r"^(\d+)\|(\d+)\|(\d{4})", "$3-$2-$1"),)).cast("date"))

@@ -163,3 +163,20 @@ def test_managers_without_clients_show_zeros(spark):
     assert (row.active_clients, row.total_billing_managed, row.avg_monthly_billing, row.overall_managed_roas) == (
         0, 0.0, 0.0, 0.0,
     )
+
+
+def test_limits_are_parameters(spark):
+    raw = fixtures.retail_raw(
+        spark,
+        customers=[("CUST1", "A", "a@b.c", "US", "2031-02-03")],
+        products=[("PRD1", "Big", "X", Decimal("7000.00"))],
+        orders=[("ORD1", "CUST1", "2031-05-06", "completed", Decimal("1.00"))],
+        order_items=[("OI1", "ORD1", "PRD1", 1, Decimal("7000.00"))],
+        sessions=[("S1", "CUST1", "2031-05-06", "Email", "Mobile", 3, 10, 0, 0)],
+    )
+    later = {"latest": dt.date(2035, 12, 31), "max_price": 10_000}
+    galaxy = retail_model.build_retail_galaxy(raw, **later)
+    assert [galaxy[t].count() for t in ("dim_customers", "dim_products", "fact_sales", "fact_web_traffic")] == [1] * 4
+    assert galaxy["dim_customers"].first()["signup_date"] == dt.date(2031, 2, 3)
+    assert {r.reject_reason for r in reject_counts(**retail_model.tag_retail_raw(raw, **later)).collect()} == {"clean"}
+    assert retail_model.build_retail_galaxy(raw)["fact_sales"].count() == 0
