@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -158,29 +159,43 @@ AGENCY_CHECKS: tuple[Check, ...] = (
 )
 
 
-def _entry(number: int, key: Column, fact: int, dim: int) -> Column:
+def _entry(number: int, key: Column | None, fact: int, dim: int) -> Column:
+    """What a row adds to a check; a key goes as two independent hashes, which fit a key of any type in 16 bytes."""
+    hashes = [F.lit(None).cast("long")] * 2 if key is None else [
+        F.when(key.isNotNull(), F.xxhash64(key)), F.when(key.isNotNull(), F.xxhash64(F.lit(number), key))
+    ]
     return F.struct(
         F.lit(number).alias("check_no"),
-        key.cast("string").alias("key"),
+        hashes[0].alias("key"),
+        hashes[1].alias("key2"),
         F.lit(fact).cast("long").alias("n"),
         F.lit(dim).cast("long").alias("in_dim"),
     )
 
 
-def _entries(number: int, check: Check, table: str) -> list[Column]:
+def _comparable(column: str, own: T.DataType, other: T.DataType) -> Column:
+    """A key column so that equal keys of both sides of a reference hash alike: as it is where the types agree."""
+    if own == other:
+        return F.col(column)
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    return F.col(column).cast("long" if isinstance(own, whole) and isinstance(other, whole) else "string")
+
+
+def _entries(number: int, check: Check, table: str, tables: dict[str, DataFrame]) -> list[Column]:
     """What one row of ``table`` adds to a check: an entry per broken rule, key or reference, or null."""
     match check:
         case NotNull() if check.table == table:
             broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in check.columns])
-            return [F.when(broken, _entry(number, F.lit(None), 1, 0))]
+            return [F.when(broken, _entry(number, None, 1, 0))]
         case Value() | Arithmetic() if check.table == table:
-            return [F.when(F.expr(check.broken), _entry(number, F.lit(None), 1, 0))]
+            return [F.when(F.expr(check.broken), _entry(number, None, 1, 0))]
         case Unique() if check.table == table:
             key = F.col(check.column)
             return [F.when(key.isNotNull(), _entry(number, key, 1, 0))]
-        case Reference():
-            found = [_entry(number, F.col(check.column), 1, 0)] if check.table == table else []
-            return found + ([_entry(number, F.col(check.dim_column), 0, 1)] if check.dim == table else [])
+        case Reference() if table in (check.table, check.dim):
+            fact, dim = tables[check.table].schema[check.column].dataType, tables[check.dim].schema[check.dim_column].dataType
+            found = [_entry(number, _comparable(check.column, fact, dim), 1, 0)] if check.table == table else []
+            return found + ([_entry(number, _comparable(check.dim_column, dim, fact), 0, 1)] if check.dim == table else [])
     return []
 
 
@@ -189,18 +204,21 @@ def check_counts(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataF
 
     All tables' entries meet in one aggregate by check and key, which counts a hot
     key where it is read; a reference is broken where a key has fact rows and no
-    dimension row, so there is no join.
+    dimension row, so there is no join. Keys are never turned into text: they are
+    compared by 128 bits of hash, and the aggregate handles fixed-width numbers only.
     """
     spark = next(iter(tables.values())).sparkSession
     # A seed for each check, so that one without entries reports zero.
-    seed = F.struct(F.col("id").cast("int").alias("check_no"), F.lit(None).cast("string").alias("key"),
-                    F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("in_dim"))
-    pieces = [spark.range(0, len(checks), 1, 1).select(F.inline(F.array(seed)))]
+    none, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
+    seed = spark.range(0, len(checks), 1, 1).select(
+        F.col("id").cast("int").alias("check_no"), none.alias("key"), none.alias("key2"), zero.alias("n"), zero.alias("in_dim")
+    )
+    pieces = [seed]
     for table, df in tables.items():
-        entries = [entry for i, check in enumerate(checks) for entry in _entries(i, check, table)]
+        entries = [entry for i, check in enumerate(checks) for entry in _entries(i, check, table, tables)]
         if entries:
-            pieces.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
-    per_key = reduce(DataFrame.unionAll, pieces).groupBy("check_no", "key").agg(
+            pieces.append(df.select(F.inline(F.array(*entries))).where("check_no is not null"))
+    per_key = reduce(DataFrame.unionAll, pieces).groupBy("check_no", "key", "key2").agg(
         F.sum("n").alias("n"), F.sum("in_dim").alias("in_dim")
     )
     keyed = F.col("key").isNotNull()
