@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -18,9 +19,11 @@ def year_over_year(report: DataFrame, period: str, value: str, by: Sequence[str]
     month, so gaps in the calendar stay gaps.
     """
     prior = report.select(
-        *by, F.add_months(period, 12).alias(period), F.col(value).alias("prior_year")
+        *[F.col(c).alias(f"_{c}") for c in by], F.add_months(period, 12).alias("_next"), F.col(value).alias("prior_year")
     )
-    joined = report.join(prior, [*by, period], "left")
+    # Null-safe: a group without a name has a prior year like any other.
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], F.col(period) == F.col("_next"))
+    joined = report.join(prior, same, "left").drop("_next", *[f"_{c}" for c in by])
     change = F.col(value) - F.col("prior_year")
     return joined.withColumn("growth", ratio_or_zero(change, F.col("prior_year")))
 

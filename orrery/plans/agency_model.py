@@ -58,19 +58,31 @@ def build_agency_galaxy(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def expected_daily_spend(campaigns: DataFrame, clients: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Campaign-by-day grid from each client's onboarding, with the planned spend of the day."""
+def expected_daily_spend(
+    campaigns: DataFrame,
+    clients: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    weekday_factor: float = WEEKDAY_FACTOR,
+    weekend_factor: float = WEEKEND_FACTOR,
+    least: float = MIN_DAILY_SPEND,
+    days_per_budget: int = DAYS_PER_BUDGET,
+) -> DataFrame:
+    """Campaign-by-day grid from each client's onboarding, with the planned spend of the day.
+
+    A day's share of the monthly budget times a factor for weekdays or weekends, ``least`` at least.
+    """
     onboarding = clients.select(F.col("client_id").alias("_client"), "onboarding_date")
     owned = campaigns.join(onboarding, F.col("client_id") == F.col("_client"))
     grid = daily_grid(owned, F.col("onboarding_date"), start, end)
-    daily = F.col("monthly_ad_budget").cast("double") / F.lit(float(DAYS_PER_BUDGET))
-    factor = F.when(is_weekend(F.col("date")) == 1, F.lit(WEEKEND_FACTOR)).otherwise(F.lit(WEEKDAY_FACTOR))
+    daily = F.col("monthly_ad_budget").cast("double") / F.lit(float(days_per_budget))
+    factor = F.when(is_weekend(F.col("date")) == 1, F.lit(weekend_factor)).otherwise(F.lit(weekday_factor))
     return grid.select(
         "date",
         "campaign_id",
         "client_id",
         daily.alias("daily_budget"),
-        F.greatest(F.lit(MIN_DAILY_SPEND), daily * factor).alias("expected_spend"),
+        F.greatest(F.lit(least), daily * factor).alias("expected_spend"),
     )
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The names of the checks and the texts of their details, in the classes and the constants below.
+
+
 @dataclass(frozen=True)
 class NotNull:
     """No row of ``table`` has a null in any of ``columns``."""

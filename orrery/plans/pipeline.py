@@ -30,7 +30,7 @@ from orrery.plans.retail_model import (
 from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_segmentation
 from orrery.schemas import AGENCY, RETAIL
-from orrery.sources.raw import read_agency_raw, read_retail_raw
+from orrery.sources.raw import read_agency_raw, read_retail_raw, set_apart
 from orrery.sources.sinks import (
     FACT_LAYOUTS,
     export_all,
@@ -205,6 +205,7 @@ def run_retail(
     earliest: dt.date = EARLIEST,
     latest: dt.date = LATEST,
     max_price: float = MAX_PRICE,
+    reject_malformed: bool = False,
 ) -> bool:
     """Raw retail files to warehouse, validation report and results; True when all checks passed.
 
@@ -215,12 +216,15 @@ def run_retail(
     reads the raw files once more. ``by_month`` splits the facts into a folder per
     month; turn it off when a month is much smaller than a file should be.
     ``earliest``, ``latest`` and ``max_price`` bound what counts as a valid date and price.
+    ``reject_malformed`` keeps lines with too few or too many fields out of the model and
+    quarantines them with their text; without it they are read as far as they go.
     """
-    tables = read_retail_raw(spark, raw)
+    tables = read_retail_raw(spark, raw, keep_malformed=reject_malformed)
     limits = {"earliest": earliest, "latest": latest, "max_price": max_price}
     if quarantine:
         export_csv(quarantine_retail(tables, f"{out}/quarantine", **limits), f"{out}/reject_counts")
     staged = _staging(out)
+    tables = {name: set_apart(df)[0] for name, df in tables.items()}
     stored, _ = store_retail(tables, staged, default_email=default_email, by_month=by_month, **limits)
     return _check_and_publish(stored, RETAIL_CHECKS, retail_queries, staged, out, on_fail, processed=processed)
 

@@ -32,7 +32,8 @@ from orrery.functions.text import (
 from orrery.operators.first_rows import ROW_ORDER, flag_repeats, keep_first
 from orrery.operators.grids import calendar
 from orrery.operators.membership import flag_referenced, keep_referenced
-from orrery.operators.rejects import Rule, clean_rows, tag_rejects
+from orrery.operators.rejects import REASON, Rule, clean_rows, tag_rejects
+from orrery.sources.raw import MALFORMED, MALFORMED_REASON, set_apart
 
 # The builders filter with plain predicates, which reach the file scan; the tag_*
 # functions name the rule each dropped row broke. Tests hold the two together.
@@ -284,6 +285,13 @@ def build_retail_galaxy(
     }
 
 
+def _as_tagged(malformed: DataFrame, tagged: DataFrame) -> DataFrame:
+    """Malformed rows in the columns of a tagged table; dates stay unread and notes empty."""
+    have = {f.name: f.dataType for f in malformed.schema.fields}
+    columns = [F.col(f.name) if have.get(f.name) == f.dataType else F.lit(None).cast(f.dataType).alias(f.name) for f in tagged.schema.fields]
+    return malformed.select(*columns, MALFORMED)
+
+
 def tag_retail_raw(
     raw: dict[str, DataFrame],
     order: Sequence[str] = SEQ,
@@ -291,7 +299,20 @@ def tag_retail_raw(
     latest: dt.date = LATEST,
     max_price: float = MAX_PRICE,
 ) -> dict[str, DataFrame]:
-    """Every raw table with its ``reject_reason`` column: clean plus rejected rows add up to the input."""
+    """Every raw table with its ``reject_reason`` column: clean plus rejected rows add up to the input.
+
+    Malformed lines (of tables read with ``keep_malformed``) are rejected as such, and take part in no other rule: a
+    broken line is nobody's first row. Then all tagged tables have the lines' text in a last column.
+    """
+    if any(MALFORMED in df.columns for df in raw.values()):
+        apart = {name: set_apart(df) for name, df in raw.items()}
+        tagged = tag_retail_raw({name: good for name, (good, _) in apart.items()}, order, earliest, latest, max_price)
+        return {
+            name: df.withColumn(MALFORMED, F.lit(None).cast("string")).unionByName(
+                _as_tagged(apart[name][1], df).withColumns({REASON: F.lit(MALFORMED_REASON), MALFORMED: F.col(MALFORMED)})
+            )
+            for name, df in tagged.items()
+        }
     customers = tag_customers(raw["customers"], order, earliest, latest)
     products = tag_products(raw["products"], max_price)
     # Deduplication never removes an id, so the raw customers name all known ones without being ranked again.

@@ -58,6 +58,7 @@ def recency_table(fact_sales: DataFrame) -> DataFrame:
     )
 
 
+# The segment names and the scores they stand for.
 def segment(r: Column, f: Column) -> Column:
     """Segment name from recency and frequency scores; first match wins."""
     return (

@@ -649,6 +649,16 @@ _SELECTS = {
         select customer_id, count(*) as n_orders from raw_orders
         where customer_id in (select customer_id from raw_customers) group by 1""",
     "reject_accounting": f"select table_name, reject_reason, count(*) as row_count from ({REASONS}) group by 1, 2",
+    "malformed_lines": """
+        select 'order_items' as table_name, case
+          when (cast(split_part(order_item_id, '-', 1) as bigint) + cast(split_part(order_item_id, '-', 2) as bigint)) % 40 = 0
+            or (cast(split_part(order_item_id, '-', 1) as bigint) + cast(split_part(order_item_id, '-', 2) as bigint)) % 41 = 0
+            then 'malformed_line'
+          when quantity <= 0 or unit_price <= 0 then 'bad_item_value'
+          when quantity is null or unit_price is null then 'missing_item_value'
+          when product_id not in (select product_id from m_products) then 'unknown_product' else 'clean' end as reject_reason,
+          count(*) as row_count
+        from raw_items group by all""",
     "rejected_orders": f"""
         select * from (select order_id, row_order, case
           when row_number() over (partition by order_id order by row_order) > 1 then 'duplicate_order'
@@ -683,13 +693,15 @@ _SELECTS = {
                cast(isodow(date) >= 6 as bigint) as is_weekend from ads""",
     "agency_row_counts": A_COUNTS,
     "expected_daily_spend": f"""
-        select strftime(d, '%Y-%m-%d') as date, campaign_id, client_id, daily as daily_budget,
+        select strftime(date_trunc('month', d), '%Y-%m-%d') as month, campaign_id, client_id, daily as daily_budget,
                greatest(5.0, daily * case when isodow(d) >= 6 then cast(0.7 as double) else cast(1.1 as double) end)
-                 as expected_spend
+                 as expected_spend, count(*) as days
         from (select campaign_id, p.client_id, onboarding_date, cast(monthly_ad_budget as double) / 30.0 as daily
               from campaigns p join clients c on p.client_id = c.client_id)
-        join (select cast(unnest(generate_series(date '1995-05-20', date '1995-05-31', interval 1 day)) as date) as d)
-          on d >= onboarding_date""",
+        join (select cast(unnest(generate_series(min(onboarding_date), max(onboarding_date), interval 1 day)) as date) as d
+              from clients)
+          on d >= onboarding_date
+        group by all""",
     "monthly_invoices": f"""
         select strftime(m, '%Y-%m-%d') as invoice_date,
                'INV-' || strftime(m, '%Y%m') || '-' || cast(client_id as varchar) as invoice_id, client_id,

@@ -51,7 +51,6 @@ from orrery.sources.sinks import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SPEND_GRID = (dt.date(1995, 5, 20), dt.date(1995, 6, 1))
 SLICE_REGIONS = ("ASIA", "EUROPE", "AFRICA")
 SLICE_DATES = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
 
@@ -196,8 +195,12 @@ def agency_row_counts(spark, root):
 
 
 def expected_daily_spend(spark, root):
+    """The plan of every day from the first onboarding to the last, by month: how many days have which amount."""
     campaigns, clients = samples.dim_campaigns(spark, root), samples.dim_clients(spark, root)
-    return agency_model.expected_daily_spend(campaigns, clients, *SPEND_GRID)
+    first, last = clients.select(F.min("onboarding_date"), F.date_add(F.max("onboarding_date"), 1)).first()
+    grid = agency_model.expected_daily_spend(campaigns, clients, first, last)
+    by = [F.trunc("date", "month").alias("month"), "campaign_id", "client_id", "daily_budget", "expected_spend"]
+    return grid.groupBy(*by).agg(F.count("*").alias("days"))
 
 
 def monthly_invoices(spark, root):
@@ -517,6 +520,23 @@ def items_by_header(spark, root):
     )
 
 
+def malformed_lines(spark, root):
+    """Order items from a file in which some lines lack a field and some have one too many, accounted for line by line."""
+    folder = scratch_path(spark, "raw-malformed")
+    raw = samples.retail_raw_text(spark, root)
+    items = raw["order_items"]
+    number = F.split_part("order_item_id", F.lit("-"), F.lit(1)).cast("long") + F.split_part("order_item_id", F.lit("-"), F.lit(2)).cast("long")
+    short = F.concat_ws(",", *items.columns[:-1])
+    whole = F.concat_ws(",", *items.columns)
+    line = F.when(number % 40 == 0, short).when(number % 41 == 0, F.concat(whole, F.lit(",left over"))).otherwise(whole)
+    # Another separator than the comma, so that lines are written as they are.
+    items.select(line.alias(",".join(items.columns))).write.option("header", True).option("sep", "\u0001").csv(f"{folder}/order_items_raw.csv")
+    read = read_csv(spark, f"{folder}/order_items_raw.csv", RETAIL_RAW["order_items"], keep_malformed=True)
+    others = {name: raw_table for name in ("customers", "products", "orders", "sessions") for raw_table in [samples.raw_table(spark, root, name)]}
+    tagged = retail_model.tag_retail_raw({**others, "order_items": read})["order_items"]
+    return reject_counts(order_items=tagged)
+
+
 def named_query_results(spark, root):
     """The retail report set run by name and exported; the cohort result is read back."""
     folder = scratch_path(spark, "results")
@@ -557,7 +577,7 @@ _LISTED = (
     check_report_file,
     retail_csv_scan, retail_csv_model, agency_csv_scan, published_retail, published_agency, quarantined_rows,
     appended_billing,
-    exported_traffic, exported_retail, exported_agency, items_by_header,
+    exported_traffic, exported_retail, exported_agency, items_by_header, malformed_lines,
     named_query_results, warehouse_tables, attribution_view,
 )
 

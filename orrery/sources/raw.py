@@ -45,13 +45,32 @@ def normalize(df: DataFrame, layout: T.StructType) -> DataFrame:
     return df.withColumns({f.name: _typed(na_to_null(F.col(f.name)), f.dataType) for f in layout.fields})
 
 
-def read_csv(spark: SparkSession, path: str, layout: T.StructType, **options: str) -> DataFrame:
+# The text of a line that has fewer or more fields than the header; null for every other line.
+MALFORMED = "_malformed_line"
+MALFORMED_REASON = "malformed_line"
+
+
+def set_apart(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Well-formed rows without the ``MALFORMED`` column, and the malformed ones with it.
+
+    A table that was read without that column has no malformed rows.
+    """
+    if MALFORMED not in df.columns:
+        return df, df.withColumn(MALFORMED, F.lit(None).cast("string")).where("false")
+    return df.where(F.col(MALFORMED).isNull()).drop(MALFORMED), df.where(F.col(MALFORMED).isNotNull())
+
+
+def read_csv(spark: SparkSession, path: str, layout: T.StructType, keep_malformed: bool = False, **options: str) -> DataFrame:
     """One raw file or folder with header, plus ``_row_order``.
 
     Columns are bound by their name in the header, in any order; other columns are
     left out, a missing one raises ``ValueError``. All files of a folder must have
     the same header, which Spark checks while it reads them.
 
+    Short lines are filled with nulls and what is too much is left off, unless ``keep_malformed``
+    asks for their text in the column ``MALFORMED``. Whole lines must be parsed then, whatever
+    columns a query needs.
+
     Spark tables have no row order; the file, the position of the split in it and
     the running id inside the split restore the order of the rows in the file,
     whatever the split size.
@@ -69,19 +88,30 @@ def read_csv(spark: SparkSession, path: str, layout: T.StructType, **options: st
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = reader().schema(found).option("enforceSchema", False).csv(path)
-    return normalize(rows.select(*layout.names, order.alias(ROW_ORDER)), layout)
-
-
-def _read_all(spark: SparkSession, root: str, layouts: Mapping[str, T.StructType], suffix: str) -> dict[str, DataFrame]:
+    scan, extra = reader().option("enforceSchema", False), []
+    if keep_malformed:
+        found = found.add(MALFORMED, T.StringType())
+        scan = scan.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+        # Spark refuses a scan of the line's text alone, so it is tied to the first column, whatever that holds.
+        read = F.coalesce(F.octet_length(header[0]), F.lit(0)) >= 0
+        extra = [F.when(read, F.col(MALFORMED)).alias(MALFORMED)]
+    rows = scan.schema(found).csv(path)
+    return normalize(rows.select(*layout.names, *extra, order.alias(ROW_ORDER)), layout)
+
+
+def _read_all(
+    spark: SparkSession, root: str, layouts: Mapping[str, T.StructType], suffix: str, keep_malformed: bool = False
+) -> dict[str, DataFrame]:
     paths = {name: f"{root}/{name}{suffix}" for name in layouts}
     require_inputs(spark, paths.values())
-    return {name: read_csv(spark, paths[name], layout) for name, layout in layouts.items()}
+    return {name: read_csv(spark, paths[name], layout, keep_malformed) for name, layout in layouts.items()}
 
 
-def read_retail_raw(spark: SparkSession, root: str, suffix: str = "_raw.csv") -> dict[str, DataFrame]:
+def read_retail_raw(
+    spark: SparkSession, root: str, suffix: str = "_raw.csv", keep_malformed: bool = False
+) -> dict[str, DataFrame]:
     """customers, products, orders, order_items and sessions."""
-    return _read_all(spark, root, RETAIL_RAW, suffix)
+    return _read_all(spark, root, RETAIL_RAW, suffix, keep_malformed)
 
 
 def read_agency_raw(spark: SparkSession, root: str, suffix: str = ".csv") -> dict[str, DataFrame]:

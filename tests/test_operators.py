@@ -218,5 +218,8 @@ def test_year_over_year_and_share(spark):
     report = spark.createDataFrame(rows, "month date, revenue double")
     got = {r.month: (r.prior_year, r.growth) for r in year_over_year(report, "month", "revenue").collect()}
     assert got == {d(2023, 1, 1): (None, 0.0), d(2024, 1, 1): (10.0, 0.5), d(2024, 2, 1): (None, 0.0)}
+    grouped = spark.createDataFrame([(None, d(2023, 1, 1), 10.0), (None, d(2024, 1, 1), 20.0), ("a", d(2024, 1, 1), 7.0)], "g string, month date, revenue double")
+    grown = {(r.g, r.month): r.growth for r in year_over_year(grouped, "month", "revenue", ["g"]).collect()}
+    assert grown == {(None, d(2023, 1, 1)): 0.0, (None, d(2024, 1, 1)): 1.0, ("a", d(2024, 1, 1)): 0.0}
     shares = sorted(r.share for r in share_of_total(report, "revenue").collect())
     assert shares == [16.67, 33.33, 50.0]

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 import fixtures
 from orrery.operators.first_rows import ROW_ORDER
+from orrery.operators.rejects import reject_counts
 from orrery.plans.pipeline import ChecksFailed, DuplicateKeys, run_agency, run_retail
-from orrery.plans.retail_model import build_dim_customers
+from orrery.plans.retail_model import build_dim_customers, build_retail_galaxy, tag_retail_raw
 from orrery.schemas import RETAIL_RAW
 from orrery.sources import samples
-from orrery.sources.raw import read_csv, read_retail_raw, require_inputs
+from orrery.sources.raw import MALFORMED, read_csv, read_retail_raw, require_inputs, set_apart
 from orrery.sources.sinks import (
     RowCountMismatch,
     export_csv,
@@ -120,6 +121,40 @@ def test_retail_run(spark, sample_dir, tmp_path):
     assert stored.filter("order_month <> trunc(order_date, 'MM')").count() == 0
 
 
+def test_malformed_lines_are_rejected_with_their_text(spark, tmp_path):
+    files = {
+        "customers": ["customer_id,full_name,email,country,signup_date", "C1,only a name", 'C1,"A, B",a@b.c,US,2024-01-01', "C1,A,a@b.c,US,2024-01-02"],
+        "products": ["product_id,product_name,category,base_price", "P1,Pen,Office,2.00", "P2,Cup,Home,3.00,extra,more"],
+        "orders": ["order_id,customer_id,order_date,status,shipping_fee", "O1,C1,2024-02-01,completed,1.00"],
+        "order_items": ["order_item_id,order_id,product_id,quantity,unit_price", "I1,O1,P1,1,2.00", "I2,O1,P2,1,3.00", "I3,O1"],
+        "sessions": ["session_id,customer_id,session_date,traffic_source,device_type,pages_viewed,duration_seconds,bounced,converted"],
+    }
+    for name, lines in files.items():
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / f"{name}_raw.csv").write_text("\n".join(lines) + "\n")
+    raw = read_retail_raw(spark, str(tmp_path / "raw"), keep_malformed=True)
+    tagged = tag_retail_raw(raw)
+    counts = {(r.table_name, r.reject_reason): r.row_count for r in reject_counts(**tagged).collect()}
+    assert counts == {
+        ("customers", "malformed_line"): 1, ("customers", "clean"): 1, ("customers", "duplicate_customer"): 1,
+        ("products", "clean"): 1, ("products", "malformed_line"): 1, ("orders", "clean"): 1,
+        ("order_items", "clean"): 1, ("order_items", "unknown_product"): 1, ("order_items", "malformed_line"): 1,
+    }
+    for name, lines in files.items():
+        assert sum(n for (table, _), n in counts.items() if table == name) == len(lines) - 1
+    assert [r[MALFORMED] for r in tagged["products"].where("reject_reason = 'malformed_line'").collect()] == ["P2,Cup,Home,3.00,extra,more"]
+    # The broken line of C1 is nobody's first row.
+    good = {name: set_apart(df)[0] for name, df in raw.items()}
+    assert [r.full_name for r in build_retail_galaxy(good)["dim_customers"].collect()] == ["A, B"]
+    # Without the switch the lines are read as far as they go.
+    assert read_retail_raw(spark, str(tmp_path / "raw"))["order_items"].count() == 3
+    out = tmp_path / "out"
+    run_retail(spark, str(tmp_path / "raw"), str(out), quarantine=True, reject_malformed=True)
+    stored = spark.read.parquet(str(out / "quarantine" / "order_items")).where("reject_reason = 'malformed_line'").collect()
+    assert [r[MALFORMED] for r in stored] == ["I3,O1"]
+    assert spark.read.parquet(str(out / "warehouse" / "fact_sales")).count() == 1
+
+
 def test_repeated_keys_stop_the_run(spark, sample_dir, tmp_path):
     for name, df in samples.retail_raw_text(spark, sample_dir).items():
         _csv(df.drop(ROW_ORDER), tmp_path / "raw" / f"{name}_raw.csv")
