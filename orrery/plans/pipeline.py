@@ -37,6 +37,7 @@ from orrery.sources.sinks import (
     export_csv,
     open_tables,
     publish,
+    required_columns,
     run_named,
     save_check_report,
     swap_in,
@@ -66,6 +67,27 @@ def retail_queries(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[], Da
     }
 
 
+def retail_set(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The retail tables that are replaced together: the galaxy and two of its results."""
+    queries = retail_queries(tables)
+    return {
+        **tables,
+        "rfm_segmentation_results": queries["rfm_segmentation"](),
+        "cohort_retention_results": queries["cohort_retention"](),
+    }
+
+
+def agency_set(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The agency tables that are replaced together: the galaxy and its three results."""
+    queries = agency_queries(tables)
+    return {
+        **tables,
+        "manager_portfolio_results": queries["manager_portfolio"](),
+        "campaign_channel_results": queries["campaign_channel"](),
+        "client_billing_cohorts": queries["client_billing_cohorts"](),
+    }
+
+
 def agency_queries(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
     managers, clients = tables["dim_account_managers"], tables["dim_clients"]
     billing, ads = tables["fact_client_billing"], tables["fact_ad_performance"]
@@ -83,9 +105,10 @@ def _store(
     by_month: bool,
     rename: Mapping[str, str] = {},
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Publish tables in their declared layout and open the stored copies."""
+    """Publish tables in their declared layout and open the stored copies; a null in a required column stops it."""
     typed = {name: to_layout(df, layouts[name]) for name, df in tables.items()}
-    loaded = publish(typed, root, rename, FACT_LAYOUTS if by_month else {})
+    required = {name: required_columns(layouts[name]) for name in typed}
+    loaded = publish(typed, root, rename, FACT_LAYOUTS if by_month else {}, required=required)
     schemas = {rename.get(name, name): df.schema for name, df in typed.items()}
     stored = open_tables(loaded.sparkSession, root, list(schemas), schemas)
     return {name: stored[rename.get(name, name)] for name in typed}, loaded

@@ -884,6 +884,17 @@ _SELECTS = {
                cast(sum(quantity * unit_price) as double) as amount from raw_items
         where quantity > 0 and unit_price > 0 group by 1""",
     "named_query_results": COHORTS,
+    "retail_table_set": _counts(
+        dim_customers="dim_customers", dim_products="dim_products", dim_date="dim_date", fact_sales="fact_sales",
+        fact_web_traffic="fact_web_traffic", cohort_retention_results=f"({COHORTS})",
+        rfm_segmentation_results="(select customer_id from scored join dim_customers using (customer_id))",
+    ).format(n="row_count"),
+    "agency_table_set": _counts(
+        **AGENCY_TABLES, dim_date_agency="agency_dates", manager_portfolio_results="managers",
+        campaign_channel_results="(select distinct marketing_channel from ads join campaigns using (campaign_id))",
+        client_billing_cohorts="billing_report",
+    ).format(n="row_count"),
+    "agency_set_billing_cohorts": "select * from billing_report",
     "warehouse_tables": A_LOADED,
     "attribution_view": _attribution(),
 }

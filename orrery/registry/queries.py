@@ -27,27 +27,30 @@ from orrery.plans.attribution import MONTH, attribution
 from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, run_checks, verdict
 from orrery.plans.pipeline import (
     AGENCY_RENAMES,
+    agency_set,
     quarantine_retail,
     retail_queries,
+    retail_set,
     store_agency,
     store_retail,
 )
 from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_scores, rfm_segmentation
-from orrery.schemas import RETAIL_RAW
+from orrery.schemas import AGENCY, RETAIL_RAW
 from orrery.session import scratch_path
 from orrery.sources import samples
 from orrery.sources.raw import read_agency_raw, read_csv, read_retail_raw, row_counts
 from orrery.sources.sinks import (
+    FACT_LAYOUTS,
     export_all,
     export_csv,
-    publish,
-    open_tables,
+    required_columns,
     run_named,
     save_as_tables,
     save_attribution_view,
     save_check_report,
 )
+from orrery.sources.versions import append_batch, open_batches, open_set, publish_set
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -469,12 +472,12 @@ def quarantined_rows(spark, root):
 
 
 def appended_billing(spark, root):
-    """The billing fact written, appended to, and read back by month."""
-    folder = scratch_path(spark, "warehouse")
-    billing = {"fact_client_billing": samples.fact_client_billing(spark, root)}
-    publish(billing, folder)
-    publish(billing, folder, mode="append")
-    stored = open_tables(spark, folder, list(billing))["fact_client_billing"]
+    """The billing fact loaded in two batches, the second one twice, and read back by month."""
+    path = f"{scratch_path(spark, 'warehouse')}/fact_client_billing"
+    billing, layout = samples.fact_client_billing(spark, root), FACT_LAYOUTS["fact_client_billing"]
+    for batch in ("first", "second", "second"):
+        append_batch(billing, path, batch, layout, required_columns(AGENCY["fact_client_billing"]))
+    stored = open_batches(spark, path)
     return stored.groupBy("invoice_date").agg(
         F.count("*").alias("n_invoices"), F.sum("total_billing_amount").alias("total_billing")
     )
@@ -551,6 +554,29 @@ def warehouse_tables(spark, root):
     return save_as_tables(galaxy, scratch_path(spark, "catalog"), {**AGENCY_RENAMES})
 
 
+def _set_counts(spark, tables, rename=()):
+    """Table sets published twice as whole versions; what the newest one holds, read back through its manifest."""
+    folder = scratch_path(spark, "versions")
+    for _ in range(2):
+        publish_set(tables, folder, dict(rename))
+    return row_counts(open_set(spark, folder))
+
+
+def retail_table_set(spark, root):
+    return _set_counts(spark, retail_set({**samples.retail(spark, root)}))
+
+
+def agency_table_set(spark, root):
+    return _set_counts(spark, agency_set(samples.agency(spark, root)), AGENCY_RENAMES)
+
+
+def agency_set_billing_cohorts(spark, root):
+    """A result table of the published agency set, whole, from the version its manifest names."""
+    folder = scratch_path(spark, "versions")
+    publish_set(agency_set(samples.agency(spark, root)), folder, AGENCY_RENAMES)
+    return open_set(spark, folder)["client_billing_cohorts"]
+
+
 def attribution_view(spark, root):
     """The saved attribution view over catalog tables."""
     tables = {"sample_event_sales": samples.event_sales(spark, root), "sample_web_traffic": samples.fact_web_traffic(spark, root)}
@@ -578,7 +604,7 @@ _LISTED = (
     retail_csv_scan, retail_csv_model, agency_csv_scan, published_retail, published_agency, quarantined_rows,
     appended_billing,
     exported_traffic, exported_retail, exported_agency, items_by_header, malformed_lines,
-    named_query_results, warehouse_tables, attribution_view,
+    named_query_results, warehouse_tables, retail_table_set, agency_table_set, agency_set_billing_cohorts, attribution_view,
 )
 
 

@@ -17,6 +17,10 @@ class RowCountMismatch(RuntimeError):
     """What was stored differs from what was sent."""
 
 
+class NullsInRequired(RuntimeError):
+    """A column that must have a value everywhere has none in some rows."""
+
+
 @dataclass(frozen=True)
 class Layout:
     """How a table is laid out on storage: split by the month of a date column."""
@@ -44,13 +48,13 @@ def _stored_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
     return spark.read.schema(schema).parquet(path).count()
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return fs.exists(target)
 
 
@@ -60,8 +64,8 @@ def swap_in(spark: SparkSession, staged: str, live: str) -> None:
     Two renames in one file system: no data is copied, and a run that dies between
     them leaves the old tables whole under the previous name.
     """
-    fs, new = _file_system(spark, staged)
-    now, old = _file_system(spark, live)[1], _file_system(spark, f"{live}_previous")[1]
+    fs, new = file_system(spark, staged)
+    now, old = file_system(spark, live)[1], file_system(spark, f"{live}_previous")[1]
     if fs.exists(now):
         if fs.exists(old):
             fs.delete(old, True)
@@ -73,11 +77,20 @@ def swap_in(spark: SparkSession, staged: str, live: str) -> None:
         raise OSError(f"cannot move {staged} to {live}")
 
 
-def write_table(df: DataFrame, path: str, layout: Layout | None = None, mode: str = "overwrite") -> int:
+def required_columns(layout: T.StructType) -> list[str]:
+    """The columns of a declared layout that must not be null."""
+    return [f.name for f in layout.fields if not f.nullable]
+
+
+def write_table(
+    df: DataFrame, path: str, layout: Layout | None = None, mode: str = "overwrite", required: Sequence[str] = ()
+) -> int:
     """Write one Parquet table and verify the stored row count; returns the rows written.
 
     The written rows are counted by an observation on the write itself, and the
     stored ones come from the Parquet footers, so verifying costs no extra scan.
+    Nulls in ``required`` columns are counted by the same observation, and raise
+    ``NullsInRequired`` once the rows are stored: stage what must not be seen then.
     A partitioned table is rebalanced first: adaptive execution merges small
     months into one file and splits a month that is too large for one task.
     """
@@ -89,13 +102,17 @@ def write_table(df: DataFrame, path: str, layout: Layout | None = None, mode: st
     # Observed behind the last shuffle: tasks there count once even if an executor
     # is lost, while repeated map tasks would be counted twice.
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in required]
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n"), *nulls).write.mode(mode)
     if layout is not None:
         writer = writer.partitionBy(layout.partition)
     writer.parquet(path)
     written, stored = seen.get["n"], _stored_rows(spark, path, schema) - before
     if written != stored:
         raise RowCountMismatch(f"{path}: {written} rows sent, {stored} stored")
+    empty = {c: seen.get[f"null {c}"] for c in required if seen.get[f"null {c}"]}
+    if empty:
+        raise NullsInRequired(f"{path}: no value in " + ", ".join(f"{n} rows of {c}" for c, n in empty.items()))
     return written
 
 
@@ -105,6 +122,7 @@ def publish(
     rename: Mapping[str, str] = {},
     layouts: Mapping[str, Layout] = FACT_LAYOUTS,
     mode: str = "overwrite",
+    required: Mapping[str, Sequence[str]] = {},
 ) -> DataFrame:
     """Replace (or append to) a set of tables below ``root``; one report row per table.
 
@@ -114,7 +132,7 @@ def publish(
     def load(item: tuple[str, DataFrame]) -> tuple[str, int]:
         name, df = item
         target = rename.get(name, name)
-        return target, write_table(df, f"{root}/{target}", layouts.get(name), mode)
+        return target, write_table(df, f"{root}/{target}", layouts.get(name), mode, required.get(name, ()))
 
     with ThreadPoolExecutor(len(tables)) as pool:
         rows = list(pool.map(load, tables.items()))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,19 +10,23 @@ from orrery.operators.first_rows import ROW_ORDER
 from orrery.operators.rejects import reject_counts
 from orrery.plans.pipeline import ChecksFailed, DuplicateKeys, run_agency, run_retail
 from orrery.plans.retail_model import build_dim_customers, build_retail_galaxy, tag_retail_raw
-from orrery.schemas import RETAIL_RAW
+from orrery.schemas import RETAIL, RETAIL_RAW
 from orrery.sources import samples
 from orrery.sources.raw import MALFORMED, read_csv, read_retail_raw, require_inputs, set_apart
 from orrery.sources.sinks import (
+    FACT_LAYOUTS,
+    NullsInRequired,
     RowCountMismatch,
     export_csv,
     open_tables,
     publish,
+    required_columns,
     run_named,
     save_as_tables,
     save_attribution_view,
     write_table,
 )
+from orrery.sources.versions import NoVersion, append_batch, drop_versions, open_batches, open_set, publish_set
 from orrery.plans.attribution import attribution
 
 
@@ -102,6 +108,71 @@ def test_append_to_a_table_that_is_not_there_yet(spark, tmp_path):
     assert spark.read.parquet(path).count() == 10
 
 
+def test_a_set_changes_at_once(spark, tmp_path):
+    root = str(tmp_path / "set")
+    with pytest.raises(NoVersion):
+        open_set(spark, root)
+    make = lambda n: {"a": spark.range(n).toDF("id"), "b": spark.range(n).selectExpr("cast(id as string) as k")}
+    assert {tuple(r) for r in publish_set(make(3), root, {"b": "renamed"}).collect()} == {("a", 3), ("renamed", 3)}
+    before = open_set(spark, root)
+    publish_set(make(5), root, {"b": "renamed"})
+    # What was opened before stays one version; what is opened now is the other.
+    assert [before[t].count() for t in ("a", "renamed")] == [3, 3]
+    assert [open_set(spark, root)[t].count() for t in ("a", "renamed")] == [5, 5]
+    bad = {"a": spark.range(9).toDF("id"), "b": spark.sql("select cast(null as string) as k")}
+    with pytest.raises(NullsInRequired, match="1 rows of k"):
+        publish_set(bad, root, {"b": "renamed"}, required={"b": ["k"]})
+    broken = {"a": spark.range(9).toDF("id"), "b": spark.range(3).select(F.raise_error(F.lit("lost")).alias("k"))}
+    with pytest.raises(Exception, match="lost"):
+        publish_set(broken, root)
+    assert {name: df.count() for name, df in open_set(spark, root).items()} == {"a": 5, "renamed": 5}
+    publish_set(make(7), root)
+    assert drop_versions(spark, root, keep=1) == 2 and drop_versions(spark, root, keep=1) == 0
+    assert {name: df.count() for name, df in open_set(spark, root).items()} == {"a": 7, "b": 7}
+
+
+def test_two_writers_get_two_versions(spark, tmp_path):
+    root = str(tmp_path / "set")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: publish_set({"t": spark.range(n).toDF("id")}, root), (1, 2, 3, 4)))
+    assert len([p for p in (tmp_path / "set" / "_manifests").iterdir() if p.name.isdigit()]) == 4
+    assert open_set(spark, root)["t"].count() in (1, 2, 3, 4)
+
+
+def test_a_repeated_batch_is_there_once(spark, sample_dir, tmp_path):
+    path = str(tmp_path / "billing")
+    billing, layout = samples.fact_client_billing(spark, sample_dir), FACT_LAYOUTS["fact_client_billing"]
+    n = billing.count()
+    assert append_batch(billing, path, "2024-01", layout) == n
+    assert append_batch(billing.limit(10), path, "2024-02", layout) == 10
+    append_batch(billing.limit(10), path, "2024-02", layout)
+    stored = open_batches(spark, path)
+    assert stored.count() == n + 10 and stored.columns == billing.columns
+    assert sorted(map(tuple, open_batches(spark, path, ["2024-01"]).collect())) == sorted(map(tuple, billing.collect()))
+    # A later batch with fewer months leaves none of its earlier rows behind.
+    append_batch(billing.limit(0), path, "2024-02", layout)
+    assert open_batches(spark, path).count() == n
+    # A batch that fails changes nothing, neither the table nor the rows of that batch.
+    holes = billing.withColumn("client_id", F.when(F.col("client_id") % 2 == 0, F.col("client_id")))
+    with pytest.raises(NullsInRequired):
+        append_batch(holes, path, "2024-01", layout, ["client_id"])
+    with pytest.raises(Exception, match="lost"):
+        append_batch(billing.withColumn("client_id", F.raise_error(F.lit("lost")).cast("long")), path, "2024-01", layout)
+    assert open_batches(spark, path).count() == n and not [p for p in (tmp_path / "billing").iterdir() if "draft" in p.name]
+    with pytest.raises(ValueError):
+        append_batch(billing, path, "a/b", layout)
+    plan = spark.read.parquet(path).where("load_batch = '2024-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_batch" in plan
+
+
+def test_required_columns_are_checked_by_the_write(spark, tmp_path):
+    rows = spark.range(6).selectExpr("id", "if(id = 4, null, id) as k")
+    with pytest.raises(NullsInRequired, match="1 rows of k"):
+        write_table(rows, str(tmp_path / "t"), required=["id", "k"])
+    assert write_table(rows, str(tmp_path / "t"), required=["id"]) == 6
+    assert "customer_id" in required_columns(RETAIL["fact_sales"]) and "status" not in required_columns(RETAIL["fact_sales"])
+
+
 def test_retail_run(spark, sample_dir, tmp_path):
     for name, df in samples.retail_raw_text(spark, sample_dir).items():
         df = df.orderBy(ROW_ORDER).drop(ROW_ORDER) if ROW_ORDER in df.columns else df
