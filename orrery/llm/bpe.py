@@ -24,6 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .textops import release
+
 CACHE_PIECES = 150_000
 GROUP = 512  # documents encoded together
 
@@ -258,11 +260,12 @@ def encode_batch(bpe: WordBpe, texts: list[str | None], group: int = GROUP) -> I
             yield ids, " ".join(map(tokens_of.__getitem__, pieces)), ids.count(" ") + 1 if ids else 0
 
 
-def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digest: bool = False, keep_pieces: bool = True) -> DataFrame:
     """Token ids and decoded text of each document, or with ``digest`` their SHA-256 only.
 
     Returns ``key``, ``n_tokens`` and ``ids``, ``decoded`` (or ``ids_sha256``, ``decoded_sha256``); one row for each
-    input row, repeated rows included. Other columns are not read.
+    input row, repeated rows included. Other columns are not read. Without ``keep_pieces`` a task's cached pieces go at
+    its end: slower, but workers that later stages use again are smaller.
     """
 
     names = ["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"]
@@ -271,6 +274,14 @@ def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
         bpe = vocabulary(path)
         gc.freeze()  # the vocabulary's many small objects are not searched again and again
         gc.set_threshold(200_000, 20, 100)
+        try:
+            yield from encoded(bpe, batches)
+        finally:
+            if not keep_pieces:
+                bpe.cache = {}
+                release()
+
+    def encoded(bpe: WordBpe, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, GROUP):
                 part = batch.slice(low, GROUP)
