@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return bpe.bpe_encode(docs, tokenizer_file("word_bpe_49k.json"))
+    return bpe.bpe_encode(docs, tokenizer_file("word_bpe_49k.json"), keep_pieces=False)
 
 
 STAGES = [
