@@ -40,7 +40,7 @@ def test_nearest(spark):
     table = spark.createDataFrame(rows, VECTORS).withColumn("bits", F.lit(1))
     want = brute_nearest(rows, 20)
     got: dict[int, list] = {}
-    for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, window=400, trees=16, slice_rows=4000).orderBy("query_id", "rank").collect():
+    for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, reach=8.0, slice_rows=400).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     assert got.keys() == want.keys()
     hits = sum(len({k for k, _ in got[q]} & {k for k, _ in want[q]}) for q in want)
@@ -60,7 +60,7 @@ def test_nearest_in_a_jittered_cluster(spark):
     near = np.float32(near / np.linalg.norm(near, axis=1)[:, None])
     rows = [(k, [float(x) for x in v]) for k, v in enumerate(near)]
     found: dict[int, set] = {}
-    for r in neighbours.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 200 == 0, window=100, slice_rows=1000).collect():
+    for r in neighbours.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 200 == 0, slice_rows=1000).collect():
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     score = near[::200].astype(np.float64) @ near.astype(np.float64).T
     score[np.arange(40), np.arange(0, 8000, 200)] = -1
