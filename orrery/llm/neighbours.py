@@ -40,7 +40,7 @@ SYMBOLS = 4
 DEPTH = 7 * SYMBOLS
 LEVELS = DEPTH + 64
 TREES = 48
-REACH = 1.8
+REACH = 1.72
 POWER = 0.82
 LEAST = 2.0  # times k + 1, from each tree
 SLICE_ROWS = 32_768
