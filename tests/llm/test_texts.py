@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.llm import bpe, fertility, jaccard, language, mixing, pii, quality, substrings
+from orrery.llm import bpe, fertility, jaccard, language, mixing, pii, quality, substrings, textops
 from orrery.llm.queries import tokenizer_file
 
 from .helpers import brute_components, brute_fertility_base, brute_pii, brute_substrings, copy_documents, cropped_documents, edited, prose, sha, words
@@ -196,3 +198,12 @@ def test_targets_reshare_excess():
     assert mixing.targets([10, 100, 10], [3, 1, 2]) == [20.0, 140.0, 20.0]
     assert mixing.targets([], []) == []
     assert sum(mixing.targets([5, 0, 7], [3, 1, 2])) == pytest.approx(18)
+
+
+def test_hashes_of_large_chunks_are_those_of_small_ones():
+    text = " ".join(f"w{k % 977}" for k in range(900_000)) + " " + "x" * (3 << 20) + " end"
+    words = textops.Words(pa.array([text, "w5 end", "x" * (3 << 20)]))
+    assert len(words.raw) > 2 * textops.CHUNK_BYTES
+    hashes = words.hashes()
+    assert (hashes[5], hashes[900_001]) == tuple(hashes[-3:-1]) and hashes[900_000] == hashes[-1]
+    assert len(np.unique(hashes)) == 977 + 2
