@@ -13,11 +13,13 @@ from orrery.session import materialize
 QUALITY_AT_LEAST = 0.3
 SHARD_WORDS = 2_000_000
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows handed to Python at once: texts are long, and 10,000 of them fill buffers on both sides of every task."""
+    """Rows and bytes handed to Python at once: long texts fill buffers on both sides of every task."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
