@@ -14,6 +14,7 @@ from orrery.operators.comparisons import share_of_total
 from orrery.plans.agency_reports import client_ad_totals
 from orrery.plans.attribution import MONTH, YEAR, attribution
 from orrery.plans.measures import conversion_rate, target_attainment, target_badge
+from orrery.sources.sinks import FACT_LAYOUTS, between_days
 
 RFM_SCORES = (1, 2, 3, 4, 5)
 
@@ -216,7 +217,10 @@ def slice_agency(
     industries: Sequence[str] | None = None,
     between: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:
-    """The agency tables under a set of slicers; facts follow their clients and dates."""
+    """The agency tables under a set of slicers; facts follow their clients and dates.
+
+    Facts opened with ``keep_months`` are read from the folders of the months asked for.
+    """
     sliced = dict(tables)
     if regions is not None or managers is not None:
         chosen = tables["dim_account_managers"]
@@ -236,6 +240,6 @@ def slice_agency(
         for name in ("dim_campaigns", "fact_ad_performance", "fact_client_billing"):
             sliced[name] = tables[name].join(ids, "client_id", "left_semi")
     if between is not None:
-        for name, day in (("fact_ad_performance", "date"), ("fact_client_billing", "invoice_date")):
-            sliced[name] = sliced[name].filter(F.col(day).between(*between))
+        for name in ("fact_ad_performance", "fact_client_billing"):
+            sliced[name] = between_days(sliced[name], FACT_LAYOUTS[name], *between)
     return sliced

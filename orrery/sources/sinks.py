@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -38,6 +39,14 @@ FACT_LAYOUTS = {
 }
 
 
+def between_days(df: DataFrame, layout: Layout, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``; a month column is filtered too, which prunes folders, and left off."""
+    kept = df.filter(F.col(layout.month_of).between(first, last))
+    if layout.partition in df.columns:
+        kept = kept.filter(F.col(layout.partition).between(first.replace(day=1), last)).drop(layout.partition)
+    return kept
+
+
 def to_layout(df: DataFrame, layout: T.StructType) -> DataFrame:
     """Project and cast to a declared table layout."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.fields])
@@ -141,18 +150,24 @@ def publish(
 
 
 def open_tables(
-    spark: SparkSession, root: str, names: Sequence[str], schemas: Mapping[str, T.StructType] = {}
+    spark: SparkSession,
+    root: str,
+    names: Sequence[str],
+    schemas: Mapping[str, T.StructType] = {},
+    keep_months: bool = False,
 ) -> dict[str, DataFrame]:
     """Read published tables back, with their declared schema where given.
 
     Month partition columns are left off; a filter on the date still prunes by
-    row-group statistics, one on the month column needs ``spark.read`` itself.
+    row-group statistics. With ``keep_months`` they stay, so that ``between_days``
+    reads the folders of its months only.
     """
     months = [layout.partition for layout in FACT_LAYOUTS.values()]
 
     def opened(name: str) -> DataFrame:
         reader = spark.read.schema(schemas[name]) if name in schemas else spark.read
-        return reader.parquet(f"{root}/{name}").drop(*months)
+        table = reader.parquet(f"{root}/{name}")
+        return table if keep_months else table.drop(*months)
 
     return {name: opened(name) for name in names}
 

@@ -12,6 +12,7 @@ from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, Reference, run_che
 from orrery.plans.retention import billing_cohorts, cohort_retention
 from orrery.plans.rfm import rfm_segmentation, segment
 from orrery.sources import samples
+from orrery.sources.sinks import FACT_LAYOUTS, open_tables, publish
 
 FACT = "k string"
 
@@ -157,3 +158,26 @@ def test_slicers(spark, sample_dir):
     low, high = billing.agg(F.min("invoice_date"), F.max("invoice_date")).first()
     assert dates[0] <= low and high <= dates[1]
     assert reports.slice_agency(t)["dim_clients"] is t["dim_clients"]
+
+
+def test_date_slicer_reads_only_its_months(spark, sample_dir, tmp_path):
+    t = samples.agency(spark, sample_dir)
+    names = ("fact_ad_performance", "fact_client_billing")
+    publish({name: t[name] for name in names}, str(tmp_path))
+    spoilt = 0
+    for folder in [d for name in names for d in (tmp_path / name).glob("*_month=*")]:
+        if "1996-03" <= folder.name.split("=")[1][:7] <= "1996-05":
+            continue
+        for file in folder.glob("*.parquet"):  # whoever opens it fails
+            file.write_bytes(b"not parquet")
+            (folder / f".{file.name}.crc").unlink(missing_ok=True)
+            spoilt += 1
+    assert spoilt > 0
+    stored = open_tables(spark, str(tmp_path), names, {name: t[name].schema for name in names}, keep_months=True)
+    between = (dt.date(1996, 3, 10), dt.date(1996, 5, 20))
+    sliced = reports.slice_agency({**t, **stored}, between=between)
+    for name in names:
+        plain = t[name].filter(F.col(FACT_LAYOUTS[name].month_of).between(*between))
+        assert sliced[name].columns == plain.columns
+        assert sliced[name].count() == plain.count() > 0
+        assert sliced[name].exceptAll(plain).isEmpty()
