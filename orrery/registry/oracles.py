@@ -920,3 +920,9 @@ ORACLES["sliced_portfolio"] = _with_own_steps(
         "{d} between date '1996-01-01' and date '1998-12-31'",
     )
 )
+ORACLES["portfolio_of_managers"] = _with_own_steps(
+    _portfolio(
+        "name in ('Supplier#000000001', 'Supplier#000000002', 'Supplier#000000003')",
+        dates="{d} between date '1996-01-01' and date '1998-12-31'",
+    )
+)

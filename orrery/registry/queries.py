@@ -54,6 +54,7 @@ from orrery.sources.versions import append_batch, open_batches, open_set, publis
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SLICE_MANAGERS = ("Supplier#000000001", "Supplier#000000002", "Supplier#000000003")
 SLICE_REGIONS = ("ASIA", "EUROPE", "AFRICA")
 SLICE_DATES = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
 
@@ -388,6 +389,13 @@ def actual_vs_target(spark, root):
     return reports.actual_vs_target(managers, billing)
 
 
+def portfolio_of_managers(spark, root):
+    t = reports.slice_agency(samples.agency(spark, root), managers=SLICE_MANAGERS, between=SLICE_DATES)
+    return manager_portfolio(
+        t["dim_account_managers"], t["dim_clients"], t["fact_client_billing"], t["fact_ad_performance"]
+    )
+
+
 def sliced_portfolio(spark, root):
     t = reports.slice_agency(
         samples.agency(spark, root),
@@ -598,7 +606,7 @@ _LISTED = (
     billing_kpis_by_month, target_attainment_by_region, target_attainment_by_manager,
     category_drilldown, category_by_country, rfm_heat_grid, rfm_cell_transactions, portfolio_drilldown,
     billing_heat_matrix, channel_by_year, channel_by_month, channel_scatter, channel_months, monthly_trend,
-    category_share, actual_vs_target, sliced_portfolio,
+    category_share, actual_vs_target, sliced_portfolio, portfolio_of_managers,
     retail_checks, retail_checks_on_faults, agency_checks, agency_checks_on_faults, agency_verdict,
     check_report_file,
     retail_csv_scan, retail_csv_model, agency_csv_scan, published_retail, published_agency, quarantined_rows,
