@@ -12,7 +12,7 @@ is found by binary search and scored exactly in double precision. The best of al
 
 Enough is ``reach * n ** POWER`` candidates of ``n`` vectors and ``LEAST * (k + 1)`` for each tree, counted once in each
 tree: some tree then holds ``k + 1`` different ones. Work for all queries so grows slower than the square of the table.
-The sample grows with the number of slices and slices with the ranges, so the sample follows the fifth root of ``n``.
+The sample grows with the number of slices and slices with the ranges, so the sample grows with a small power of ``n``.
 ``reach`` and ``trees`` are the recall parameters. No range is cut: a query may read more than enough, never less.
 
 Equal vectors are one entry of the index, under their smallest id, with as many of their smallest ids as a result can
@@ -40,8 +40,8 @@ SYMBOLS = 4
 DEPTH = 7 * SYMBOLS
 LEVELS = DEPTH + 64
 TREES = 48
-REACH = 1.72
-POWER = 0.82
+REACH = 1.25
+POWER = 0.85
 LEAST = 2.0  # times k + 1, from each tree
 SLICE_ROWS = 32_768
 SAMPLE_ROWS = 8192
