@@ -2,10 +2,13 @@
 
 A public vocabulary with byte fallback encodes every word of a text. Characters per token, the share of byte-fallback
 tokens and the entropy of the tokens tell prose from noise: random strings break into short tokens, foreign symbols
-into bytes, and boilerplate repeats a few tokens. A text is rejected if a measure leaves the band of its script.
+into bytes, and boilerplate repeats a few tokens. A text is rejected if a measure leaves the band of its script: the fixed
+one in ``BANDS``, or the corpus's own (``fences``), which lies around the quartiles of all texts of the script that pass the
+base rules. Quartiles come from exact counts in small steps, so they depend on no order and the driver sees counts only.
 
 Words are runs without ASCII white space, texts are whole. Null and empty texts have zero counts and fail the base rule
-(fewer than ten words). The vocabulary file is a parameter; each worker loads it once.
+(fewer than ten words). Rows of one key, and null keys, are judged as texts of their own; an empty table has no bands and no
+rows. The vocabulary file is a parameter; each worker loads it once.
 """
 
 from __future__ import annotations
@@ -17,6 +20,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from orrery.session import materialize
 
 from .textops import Words, chunks, mix64, window_hashes
 
@@ -30,10 +36,18 @@ BANDS = {
     "cyrillic": (1.0, 7.0, 0.20, 3.0),
     "cjk": (0.25, 3.0, 0.75, 3.0),
     "other": (0.2, 6.0, 0.90, 3.0),
+    "none": (1.4, 6.0, 0.60, 3.0),  # no letters: bare digits have 0.9 characters a token, bare symbols 1.2
 }
 SCRIPTS = tuple(BANDS)
 ENTROPY_TOKENS = 100
 
+#: Steps in which the corpus's measures are counted, the last one open: characters per token, byte share, entropy.
+STEPS = {"chars_per_token": (0.005, 20.0), "byte_share": (0.005, 1.0), "token_entropy": (0.02, 20.0)}
+#: A fence is this many quartile distances beyond the quartiles for many texts; few texts tell less and widen it.
+REACH, REACH_FEW = 3.0, 30.0
+#: A quartile distance counts as at least this part of the median, and at least as this much.
+SPREAD, LEAST_SPREAD = 0.05, {"chars_per_token": 0.05, "byte_share": 0.01, "token_entropy": 0.2}
+
 #: Script of a letter by its first byte in UTF-8; 255: none.
 _SCRIPT = np.full(256, 255, np.uint8)
 _SCRIPT[[*range(65, 91), *range(97, 123), *range(0xC3, 0xCA)]] = 0
@@ -122,9 +136,9 @@ def _sum(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def scripts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The script with the most letters; without letters the last one."""
+    """The script with the most letters, or none."""
     kind = _SCRIPT[raw]
-    letters = np.stack([_upto(kind == k, at) for k in range(len(SCRIPTS))], 1)
+    letters = np.stack([_upto(kind == k, at) for k in range(len(SCRIPTS) - 1)], 1)
     return np.where(letters.sum(1) > 0, letters.argmax(1), len(SCRIPTS) - 1)
 
 
@@ -151,8 +165,33 @@ def measure(column: pa.Array, path: str, bands: dict[str, tuple[float, float, fl
     }
 
 
+def fences(measured: DataFrame) -> dict[str, dict[str, tuple[float, float]]]:
+    """Per script and measure, the least and the greatest value that are still usual in this corpus.
+
+    One small aggregate over all measured texts that pass the base rules: counts by script and step, at most
+    some thousand rows.
+    """
+    steps = [F.struct(F.lit(c).alias("measure"), F.floor(F.least(F.col(c), F.lit(top)) / width).alias("step")) for c, (width, top) in STEPS.items()]
+    usual = measured.where("not base_failed").select("script", "n_tokens", F.explode(F.array(*steps)).alias("_m")).select("script", "n_tokens", "_m.*")
+    usual = usual.where((F.col("measure") != "token_entropy") | (F.col("n_tokens") >= ENTROPY_TOKENS))
+    counts: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for r in usual.groupBy("script", "measure", "step").count().collect():
+        counts.setdefault((r["script"], r["measure"]), []).append((r["step"], r["count"]))
+    out: dict[str, dict[str, tuple[float, float]]] = {}
+    for (script, name), rows in counts.items():
+        step, n = np.array(sorted(rows)).T
+        total = np.cumsum(n)
+        first, middle, third = ((step[np.searchsorted(total, q * total[-1])] + 0.5) * STEPS[name][0] for q in (0.25, 0.5, 0.75))
+        reach = (REACH + REACH_FEW / np.sqrt(total[-1])) * max(third - first, SPREAD * middle, LEAST_SPREAD[name])
+        out.setdefault(script, {})[name] = (float(first - reach), float(third + reach))
+    return out
+
+
 def fertility_rules(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
-    """``key`` and the measures and verdicts in ``COLUMNS`` for every row."""
+    """``key`` and the measures and verdicts in ``COLUMNS`` for every row.
+
+    The measures are stored once; the corpus's own bands are counted from them and then applied to them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,4 +200,17 @@ def fertility_rules(docs: DataFrame, path: str, key: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays([part.column(key), *(pa.array(found[c]) for c in COLUMNS)], [key, *COLUMNS])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{c} {t}" for c, t in COLUMNS.items()))
+    measured = docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{c} {t}" for c, t in COLUMNS.items()))
+    measured = materialize(measured, "fertility")
+    unusual = F.lit(False)
+    for script, found in sorted(fences(measured).items()):
+        out = F.lit(False)
+        for name, (low, high) in sorted(found.items()):
+            if name == "chars_per_token":
+                out = out | ~F.col(name).between(low, high)
+            elif name == "byte_share":
+                out = out | (F.col(name) > high)
+            else:
+                out = out | ((F.col(name) < low) & (F.col("n_tokens") >= ENTROPY_TOKENS))
+        unusual = unusual | ((F.col("script") == script) & out)
+    return measured.withColumn("kept", F.col("kept") & ~unusual)

@@ -100,6 +100,25 @@ def test_fertility_token_measures(spark):
     assert row["token_entropy"] == pytest.approx(-sum(p * math.log2(p) for p in share))
 
 
+def test_fertility_rejects_noise_and_keeps_prose(spark):
+    rng = random.Random(19)
+    common = "the of and to in that was his he it with is for as had you not be her on at by which have or from this him but all she they were my are me one their so an said them we who would been will no when there if more out up into do any your what has man could other than our some very time upon about may its only now like little then can made should did us such great before must two these see know over much down after first good own never old without where while people house water light under morning country began against between because through another nothing thought".split()
+    english = [" ".join(rng.choice(common) for _ in range(80)) for _ in range(400)]
+    noise = [" ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(60)) for _ in range(12)]
+    digits = [" ".join(str(rng.randrange(10**8)) for _ in range(60)) for _ in range(12)]
+    symbols = [" ".join("".join(rng.choice("#*$%&|<>~^") for _ in range(6)) for _ in range(60)) for _ in range(12)]
+    bad = noise + digits + symbols
+    rows = list(enumerate(english + bad)) + [(None, english[0]), (0, bad[0]), (900, None), (901, "")]
+    path = tokenizer_file("piece_bpe_32k.model")
+    found = fertility.fertility_rules(frame(spark, rows).withColumn("script", F.lit("x")), path).collect()
+    assert len(found) == len(rows) and not any(r["base_failed"] for r in found if r["doc_id"] is not None and 0 < r["doc_id"] < 900)
+    kept = {r["doc_id"] for r in found if r["kept"]}
+    assert kept == {None, *range(400)} and sorted(r["kept"] for r in found if r["doc_id"] == 0) == [False, True]
+    assert fertility.fertility_rules(frame(spark, []), path).count() == 0
+    alone = fertility.fertility_rules(frame(spark, [(1, english[0])]), path).first()  # one text is no evidence against itself
+    assert alone["kept"]
+
+
 def test_pii_patterns(spark):
     rng = random.Random(5)
     pool = list("0123456789") * 2 + list("@@..+-- ()_%ab\n")
@@ -118,7 +137,7 @@ def test_pii_network(spark):
     rows = []
     for k in range(240):
         text = " ".join(prose(rng, 30)).replace("w", "wo").translate(str.maketrans("0123456789", "abcdefghij"))
-        rows.append((k, f"{text} {pii.generated_span(k % 4, make)} {text}" if k % 2 else text))
+        rows.append((k, f"{text} {''.join(pii.generated_span(k % 4, make)[i] for i in (1, 0, 2))} {text}" if k % 2 else text))
     docs = frame(spark, [*rows, (None, None), (500, "")])
     model = pii.train(docs)
     texts = [t for _, t in rows]
@@ -136,6 +155,63 @@ def test_pii_network(spark):
     assert all(not pii.pattern_spans(masked[k]) for k, _ in rows) and masked[None] is None
 
 
+def test_pii_network_finds_other_spellings_and_passes_look_alikes_over(spark):
+    import numpy as np
+
+    rng, make = random.Random(16), np.random.default_rng(17)
+    vocabulary = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(2, 9))) for _ in range(500)]
+    line = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    rows, truth = [], {}
+    for k in range(900):
+        kind = k % 8
+        span, lead, tail = pii.generated_span(kind, make) if kind < 6 else (pii.generated_trap(make), "", "")
+        before = line(20) + " " + lead
+        rows.append((k, before + span + tail + " " + line(20)))
+        truth[k] = (kind, len(before), len(before) + len(span))
+    docs = frame(spark, [*rows, *[(3, f"call me {k}@x.de {line(5)}") for k in range(900)], (None, "a@b.de"), (901, None)])  # one hot id
+    model = pii.train(docs)
+    fresh, hits, wanted, wrong, added = [], 0, 0, 0, 0
+    for k in range(600):
+        kind = k % 8
+        span, lead, tail = pii.generated_span(kind, make) if kind < 6 else (pii.generated_trap(make), "", "")
+        before = line(25) + " " + lead
+        fresh.append((before + span + tail + " " + line(10), kind, len(before), len(before) + len(span)))
+    for (text, kind, a, b), (base, spans) in zip(fresh, pii.all_spans([f[0] for f in fresh], model)):
+        extra = [s for s in spans if s not in base]
+        assert set(base) <= set(spans) and all(pii.possible(k, text[i:j]) for k, i, j in extra)
+        assert all(pii.luhn(pii._digits(text[i:j])) for k, i, j in extra if k == 2)
+        wanted += kind < 6
+        hits += kind < 6 and any(i < b and j > a for _, i, j in spans)
+        added += len(extra)
+        wrong += sum(kind >= 6 or not (i < b and j > a) for _, i, j in extra)
+    assert hits >= 0.8 * wanted and wrong <= 0.05 * added
+    assert len(pii.training_texts(docs, 1000, 16 << 20, "doc_id", "text")) <= 900  # one text of the hot id
+    assert len(pii.training_texts(docs, 1000, 2000, "doc_id", "text")) < 20
+    assert pii.training_texts(frame(spark, []), 10, 1000, "doc_id", "text") == []
+
+
+def test_pii_possible_spans():
+    right = [(0, "john [at] mail dot com"), (0, "a.b@c.de"), (1, "10 . 0 . 0 . 1"), (1, "2001:db8:0:0:0:0:0:1"), (2, "4111.1111.1111.1111"), (3, "(212) 555-0147"), (3, "030 1234 5678"), (4, "DE89 3704 0044 0532 0130 00"), (5, "hunter2-abc")]
+    wrong = [(0, "john at mail"), (1, "4111.1111.1111.1111"), (1, "1.2.3"), (2, "4111 1111 1111 1112"), (3, "2024-01-05"), (3, "1234567890"), (3, "886.568.896.791"), (4, "DE89 3704 0044 0532 0130 01"), (5, "aaaaaaaaaa"), (5, "two words")]
+    assert all(pii.possible(*r) for r in right) and not any(pii.possible(*w) for w in wrong)
+
+
+def test_pii_stretches_cover_whole_words():
+    rng = random.Random(18)
+    pool = list("abcdefgh    ") * 6 + ["7", "@", " dot ", " [at] ", "password: ", "\n"]
+    for _ in range(400):
+        text = "".join(rng.choice(pool) for _ in range(rng.randrange(700)))
+        parts = pii.stretches(text)
+        covered = {c for a, b in parts for c in range(a, b)}
+        for m in pii._TRIGGER.finditer(text):
+            assert set(range(max(0, m.start() - pii.REACH), min(len(text), m.end() + pii.REACH))) <= covered
+        assert all(b <= c for (_, b), (c, _) in zip(parts, parts[1:])) and all(a < b for a, b in parts)
+        for a, b in parts:
+            assert a == 0 or text[a - 1].isspace() or a in {e for _, e in parts}
+            assert b == len(text) or text[b].isspace()
+    assert pii.stretches("x" * 5000 + "1" + "y" * 5000) == [(0, 10001)] and pii.stretches("") == []
+
+
 def test_quality(spark):
     rng = random.Random(8)
     rows = [(k, " ".join(prose(rng, 60)) if k % 4 else " ".join(f"w{rng.randrange(4000)}***" for _ in range(60))) for k in range(600)]
