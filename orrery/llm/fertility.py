@@ -45,6 +45,8 @@ ENTROPY_TOKENS = 100
 STEPS = {"chars_per_token": (0.005, 20.0), "byte_share": (0.005, 1.0), "token_entropy": (0.02, 20.0)}
 #: A fence is this many quartile distances beyond the quartiles for many texts; few texts tell less and widen it.
 REACH, REACH_FEW = 3.0, 30.0
+#: Short texts scatter more: a fence moves out by 1 + this / sqrt(tokens) for each text.
+REACH_SHORT = 10.0
 #: A quartile distance counts as at least this part of the median, and at least as this much.
 SPREAD, LEAST_SPREAD = 0.05, {"chars_per_token": 0.05, "byte_share": 0.01, "token_entropy": 0.2}
 
@@ -165,8 +167,8 @@ def measure(column: pa.Array, path: str, bands: dict[str, tuple[float, float, fl
     }
 
 
-def fences(measured: DataFrame) -> dict[str, dict[str, tuple[float, float]]]:
-    """Per script and measure, the least and the greatest value that are still usual in this corpus.
+def fences(measured: DataFrame) -> dict[str, dict[str, tuple[float, float, float]]]:
+    """Per script and measure, the first and third quartile and how far beyond them a long text is still usual in this corpus.
 
     One small aggregate over all measured texts that pass the base rules: counts by script and step, at most
     some thousand rows.
@@ -177,13 +179,13 @@ def fences(measured: DataFrame) -> dict[str, dict[str, tuple[float, float]]]:
     counts: dict[tuple[str, str], list[tuple[int, int]]] = {}
     for r in usual.groupBy("script", "measure", "step").count().collect():
         counts.setdefault((r["script"], r["measure"]), []).append((r["step"], r["count"]))
-    out: dict[str, dict[str, tuple[float, float]]] = {}
+    out: dict[str, dict[str, tuple[float, float, float]]] = {}
     for (script, name), rows in counts.items():
         step, n = np.array(sorted(rows)).T
         total = np.cumsum(n)
         first, middle, third = ((step[np.searchsorted(total, q * total[-1])] + 0.5) * STEPS[name][0] for q in (0.25, 0.5, 0.75))
         reach = (REACH + REACH_FEW / np.sqrt(total[-1])) * max(third - first, SPREAD * middle, LEAST_SPREAD[name])
-        out.setdefault(script, {})[name] = (float(first - reach), float(third + reach))
+        out.setdefault(script, {})[name] = (float(first), float(third), float(reach))
     return out
 
 
@@ -202,10 +204,11 @@ def fertility_rules(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     kind = docs.schema[key].dataType.simpleString()
     measured = docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{c} {t}" for c, t in COLUMNS.items()))
     measured = materialize(measured, "fertility")
-    unusual = F.lit(False)
+    unusual, further = F.lit(False), 1 + REACH_SHORT / F.sqrt(F.greatest("n_tokens", F.lit(1)))
     for script, found in sorted(fences(measured).items()):
         out = F.lit(False)
-        for name, (low, high) in sorted(found.items()):
+        for name, (first, third, reach) in sorted(found.items()):
+            low, high = first - reach * further, third + reach * further
             if name == "chars_per_token":
                 out = out | ~F.col(name).between(low, high)
             elif name == "byte_share":
