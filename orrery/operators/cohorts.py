@@ -29,6 +29,11 @@ def monthly_cohorts(df: DataFrame, entity: str, day: str, value: str | None = No
         .groupBy("_start", month_offset(F.col("_month"), F.col("_start")).alias("month_index"))
         .agg(F.count(entity).alias("active"), F.sum("_total").alias("total"))
     )
+    return cohort_table(grid)
+
+
+def cohort_table(grid: DataFrame) -> DataFrame:
+    """Cohort sizes and starting values beside a grid of ``_start, month_index, active, total``."""
     cohort = W.partitionBy("_start")
     month_zero = F.col("month_index") == 0
     return grid.select(

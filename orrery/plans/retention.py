@@ -12,7 +12,10 @@ from orrery.operators.cohorts import monthly_cohorts
 def cohort_retention(fact_sales: DataFrame) -> DataFrame:
     """Share of each first-purchase cohort that buys again in each later month."""
     kept = fact_sales.filter(F.col("status") != "Cancelled")
-    cohorts = monthly_cohorts(kept, "customer_id", "order_date")
+    return retention_report(monthly_cohorts(kept, "customer_id", "order_date"))
+
+
+def retention_report(cohorts: DataFrame) -> DataFrame:
     return cohorts.select(
         "cohort_month",
         "cohort_size",
@@ -24,7 +27,10 @@ def cohort_retention(fact_sales: DataFrame) -> DataFrame:
 
 def billing_cohorts(billing: DataFrame) -> DataFrame:
     """Client and revenue retention of each first-invoice cohort."""
-    cohorts = monthly_cohorts(billing, "client_id", "invoice_date", "total_billing_amount")
+    return billing_report(monthly_cohorts(billing, "client_id", "invoice_date", "total_billing_amount"))
+
+
+def billing_report(cohorts: DataFrame) -> DataFrame:
     return cohorts.select(
         "cohort_month",
         "cohort_size",

@@ -732,6 +732,7 @@ _SELECTS = {
                     else 'Lost / Inactive' end as rfm_segment
         from scored join dim_customers using (customer_id)""",
     "retention_cohorts": COHORTS,
+    "retention_cohorts_by_loads": COHORTS,
     "best_sessions": f"""
         select session_id, customer_id, {DATES_OUT.format(c='session_date')}, traffic_source, device_type,
                cast(pages_viewed as bigint) as pages_viewed, cast(duration_seconds as bigint) as duration_seconds
@@ -754,6 +755,7 @@ _SELECTS = {
                round({_ratio('sum(client_conversion_revenue)', 'sum(ad_spend)')}, 2) as channel_roas
         from campaigns join ads using (campaign_id) group by 1""",
     "client_billing_cohorts": "select * from billing_report",
+    "billing_cohorts_by_loads": "select * from billing_report",
     # measures
     "sales_kpis_total": f"select {SALES_KPIS} from fact_sales",
     "sales_kpis_by_status": f"select year(order_date) as order_year, status, {SALES_KPIS} from fact_sales group by 1, 2",

@@ -25,6 +25,7 @@ from orrery.plans import agency_model, measures, reports, retail_model
 from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
 from orrery.plans.attribution import MONTH, attribution
 from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, run_checks, verdict
+from orrery.plans.cohort_state import load_months, stored_cohorts
 from orrery.plans.pipeline import (
     AGENCY_RENAMES,
     agency_set,
@@ -34,7 +35,7 @@ from orrery.plans.pipeline import (
     store_agency,
     store_retail,
 )
-from orrery.plans.retention import billing_cohorts, cohort_retention
+from orrery.plans.retention import billing_cohorts, billing_report, cohort_retention, retention_report
 from orrery.plans.rfm import rfm_scores, rfm_segmentation
 from orrery.schemas import AGENCY, RETAIL_RAW
 from orrery.session import scratch_path
@@ -287,6 +288,33 @@ def revenue_growth(spark, root):
     return measures.monthly_growth(samples.fact_sales(spark, root))
 
 
+#: Loads in which the months arrive: the oldest, the newest, then those between, late and twice.
+MONTH_LOADS = (
+    (dt.date(1, 1, 1), dt.date(1994, 3, 31)),
+    (dt.date(1996, 1, 1), dt.date(9999, 12, 31)),
+    (dt.date(1994, 4, 1), dt.date(1995, 12, 31)),
+    (dt.date(1994, 4, 1), dt.date(1995, 12, 31)),
+)
+
+
+def retention_cohorts_by_loads(spark, root):
+    """The customer cohorts from bitmaps kept up over several loads of months."""
+    folder = scratch_path(spark, "activity")
+    kept = samples.fact_sales(spark, root).filter(F.col("status") != "Cancelled")
+    for first, last in MONTH_LOADS:
+        load_months(kept, folder, first, last, "customer_id", "order_date")
+    return retention_report(stored_cohorts(spark, folder))
+
+
+def billing_cohorts_by_loads(spark, root):
+    """The client cohorts with their amounts, likewise."""
+    folder = scratch_path(spark, "activity")
+    billing = samples.fact_client_billing(spark, root)
+    for first, last in MONTH_LOADS:
+        load_months(billing, folder, first, last, "client_id", "invoice_date", "total_billing_amount")
+    return billing_report(stored_cohorts(spark, folder, with_amounts=True))
+
+
 def signup_cohort_retention(spark, root):
     return measures.signup_retention(samples.fact_sales(spark, root))
 
@@ -602,6 +630,7 @@ _LISTED = (
     rfm_segments, retention_cohorts, best_sessions, attributed_sales,
     channel_attribution, channel_attribution_full, manager_leaderboard, channel_grid, client_billing_cohorts,
     sales_kpis_total, sales_kpis_by_status, conversion_by_day, conversion_total, revenue_growth,
+    retention_cohorts_by_loads, billing_cohorts_by_loads,
     signup_cohort_retention, signup_cohort_retention_by_status, ad_kpis_by_channel, billing_kpis_by_manager,
     billing_kpis_by_month, target_attainment_by_region, target_attainment_by_manager,
     category_drilldown, category_by_country, rfm_heat_grid, rfm_cell_transactions, portfolio_drilldown,
