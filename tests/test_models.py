@@ -180,3 +180,32 @@ def test_limits_are_parameters(spark):
     assert galaxy["dim_customers"].first()["signup_date"] == dt.date(2031, 2, 3)
     assert {r.reject_reason for r in reject_counts(**retail_model.tag_retail_raw(raw, **later)).collect()} == {"clean"}
     assert retail_model.build_retail_galaxy(raw)["fact_sales"].count() == 0
+
+
+def test_spend_by_month_counts_the_daily_grid_without_listing_days(spark):
+    """Repeated campaigns and clients, spans that begin and end inside months, budgets below the least and missing."""
+    day = dt.date
+    clients = spark.createDataFrame(
+        [(1, day(2023, 12, 30)), (1, day(2024, 1, 17)), (1, day(2024, 1, 17)), (2, day(2024, 2, 29)), (3, None), (4, day(2030, 1, 1))],
+        "client_id long, onboarding_date date",
+    )
+    campaigns = spark.createDataFrame(
+        [(10, 1, 300.0), (10, 1, 300.0), (10, 1, 900.0), (11, 2, 1.0), (12, 2, None), (13, 3, 60.0), (14, 4, 60.0), (15, 9, 60.0)],
+        "campaign_id long, client_id long, monthly_ad_budget double",
+    )
+    key = ["month", "campaign_id", "client_id", "daily_budget", "expected_spend"]
+    for start, end in ((day(1969, 12, 1), day(1970, 2, 10)), (day(2024, 1, 10), day(2024, 4, 6)), (day(2024, 3, 1), day(2024, 3, 1))):
+        moved = clients.withColumn("onboarding_date", F.expr("onboarding_date - interval 54 years").cast("date")) if end.year == 1970 else clients
+        grid = agency_model.expected_daily_spend(campaigns, moved, start, end).withColumn("month", F.trunc("date", "month"))
+        days = {tuple(r) for r in grid.groupBy(*key).agg(F.count("*").alias("days")).collect()}
+        months = agency_model.expected_spend_by_month(campaigns, moved, start, end)
+        assert months.columns == [*key, "days"]
+        assert sorted(map(tuple, months.collect()), key=repr) == sorted(days, key=repr)
+    assert "interval 1 day" not in months._jdf.queryExecution().toString().lower()
+
+
+def test_registered_spend_lists_no_days(spark, sample_dir):
+    from orrery.registry.queries import QUERIES
+
+    plan = QUERIES["expected_daily_spend"](spark, sample_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Some(INTERVAL '1' DAY)" not in plan and "INTERVAL '1' DAY" not in plan
