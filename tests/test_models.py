@@ -209,3 +209,27 @@ def test_registered_spend_lists_no_days(spark, sample_dir):
 
     plan = QUERIES["expected_daily_spend"](spark, sample_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "Some(INTERVAL '1' DAY)" not in plan and "INTERVAL '1' DAY" not in plan
+
+
+def test_large_raw_tables_land_without_a_shuffle(spark, sample_dir, monkeypatch):
+    """A table read in splits lands as they are; a query lands only the tables it reads."""
+    from orrery.registry.queries import QUERIES
+
+    landed = []
+
+    def keep(df, name):
+        landed.append((name, "repartition" in df._jdf.queryExecution().logical().toString().lower()))
+        return df
+
+    monkeypatch.setattr(samples, "materialize", keep)
+    samples._landed.cache_clear()
+    try:
+        QUERIES["rejected_orders"](spark, sample_dir)
+        assert sorted(landed) == [("landed-customers", True), ("landed-orders", True)]
+        samples._landed.cache_clear()
+        landed.clear()
+        monkeypatch.setattr(samples, "DEALT_BELOW", 0)
+        QUERIES["sane_items"](spark, sample_dir)
+        assert sorted(landed) == [("landed-order_items", False), ("landed-products", False)]
+    finally:
+        samples._landed.cache_clear()
