@@ -33,6 +33,7 @@ from orrery.operators.first_rows import ROW_ORDER, flag_repeats, keep_first
 from orrery.operators.grids import calendar
 from orrery.operators.membership import flag_referenced, keep_referenced
 from orrery.operators.rejects import REASON, Rule, clean_rows, tag_rejects
+from orrery.session import materialize
 from orrery.sources.raw import MALFORMED, MALFORMED_REASON, set_apart
 
 # The builders filter with plain predicates, which reach the file scan; the tag_*
@@ -243,9 +244,13 @@ def date_bounds(*columns: tuple[DataFrame, str]) -> DataFrame:
 
 def build_dim_date(dim_customers: DataFrame, fact_sales: DataFrame, fact_web_traffic: DataFrame) -> DataFrame:
     """Gapless calendar over sign-ups, orders and sessions, padded by five days."""
-    bounds = date_bounds(
-        (dim_customers, "signup_date"), (fact_sales, "order_date"), (fact_web_traffic, "session_date")
+    return dim_date_between(
+        date_bounds((dim_customers, "signup_date"), (fact_sales, "order_date"), (fact_web_traffic, "session_date"))
     )
+
+
+def dim_date_between(bounds: DataFrame) -> DataFrame:
+    """The calendar of one row ``lo, hi``."""
     date = F.col("date")
     return calendar(bounds, CALENDAR_PAD_DAYS, CALENDAR_DEFAULT).select(
         date.alias("date_key"),
@@ -285,6 +290,27 @@ def build_retail_galaxy(
     }
 
 
+#: The tables whose dates the calendar spans.
+DATED = {"dim_customers": "signup_date", "fact_sales": "order_date", "fact_web_traffic": "session_date"}
+
+
+def galaxy_row_counts(galaxy: dict[str, DataFrame]) -> DataFrame:
+    """``table_name, row_count`` of a retail galaxy's tables, each built once.
+
+    The pass that counts a table also finds its first and last day, so the calendar's rows are counted without
+    building the tables it spans again.
+    """
+    def counted(name: str) -> DataFrame:
+        day = F.col(DATED[name]) if name in DATED else F.lit(None).cast("date")
+        rows = galaxy[name].agg(F.count("*").alias("row_count"), F.min(day).alias("lo"), F.max(day).alias("hi"))
+        return rows.select(F.lit(name).alias("table_name"), "row_count", "lo", "hi")
+
+    seen = materialize(reduce(DataFrame.unionAll, [counted(name) for name in galaxy if name != "dim_date"]), "galaxy-counts")
+    dates = dim_date_between(seen.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    days = dates.agg(F.count("*").alias("row_count")).select(F.lit("dim_date").alias("table_name"), "row_count")
+    return seen.select("table_name", "row_count").unionAll(days)
+
+
 def _as_tagged(malformed: DataFrame, tagged: DataFrame) -> DataFrame:
     """Malformed rows in the columns of a tagged table; dates stay unread and notes empty."""
     have = {f.name: f.dataType for f in malformed.schema.fields}

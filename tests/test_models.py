@@ -233,3 +233,11 @@ def test_large_raw_tables_land_without_a_shuffle(spark, sample_dir, monkeypatch)
         assert sorted(landed) == [("landed-order_items", False), ("landed-products", False)]
     finally:
         samples._landed.cache_clear()
+
+
+def test_row_counts_build_each_table_once(spark):
+    raw = fixtures.retail_raw(spark, products=fixtures.PRODUCTS, customers=fixtures.CUSTOMERS)
+    galaxy = retail_model.build_retail_galaxy(raw)
+    counts = retail_model.galaxy_row_counts(galaxy)
+    assert {tuple(r) for r in counts.collect()} == {(name, df.count()) for name, df in galaxy.items()}
+    assert counts.inputFiles() and all("galaxy-counts" in f for f in counts.inputFiles())
