@@ -7,7 +7,8 @@ import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.functions.dates import EARLIEST, LATEST
@@ -17,6 +18,7 @@ from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
 from orrery.plans.attribution import attribution
 from orrery.plans.checks import AGENCY_CHECKS, RETAIL_CHECKS, Check, run_checks, verdict
 from orrery.plans.retail_model import (
+    DATED,
     DEFAULT_EMAIL,
     MAX_PRICE,
     SEQ,
@@ -25,6 +27,7 @@ from orrery.plans.retail_model import (
     build_dim_products,
     build_fact_sales,
     build_fact_web_traffic,
+    dim_date_between,
     tag_retail_raw,
 )
 from orrery.plans.retention import billing_cohorts, cohort_retention
@@ -202,6 +205,25 @@ def _check_and_publish(
     return bool(result["all_passed"])
 
 
+def export_retail(galaxy: Mapping[str, DataFrame], root: str) -> None:
+    """A retail galaxy as CSV, each table built once.
+
+    The first and last day are observed while the tables that the calendar spans are written; they are not built again for it.
+    """
+    seen = {name: Observation() for name in DATED}
+    for name, df in galaxy.items():
+        if name in DATED:
+            first, last = (bound(DATED[name]).cast("string").alias(a) for bound, a in ((F.min, "lo"), (F.max, "hi")))
+            df = df.observe(seen[name], first, last)
+        if name != "dim_date":
+            export_csv(df, f"{root}/{name}")
+    spans = [(found.get["lo"], found.get["hi"]) for found in seen.values()]
+    spark = next(iter(galaxy.values())).sparkSession
+    days = spark.createDataFrame(spans, "lo string, hi string")
+    bounds = days.agg(F.min("lo").cast("date").alias("lo"), F.max("hi").cast("date").alias("hi"))
+    export_csv(dim_date_between(bounds), f"{root}/dim_date")
+
+
 def _staging(out: str) -> str:
     return f"{out}/staged-{uuid.uuid4().hex[:12]}"
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import fixtures
 from orrery.operators.first_rows import ROW_ORDER
 from orrery.operators.rejects import reject_counts
+from orrery.plans import pipeline
 from orrery.plans.pipeline import ChecksFailed, DuplicateKeys, run_agency, run_retail
 from orrery.plans.retail_model import build_dim_customers, build_retail_galaxy, tag_retail_raw
 from orrery.schemas import RETAIL, RETAIL_RAW
@@ -290,3 +291,20 @@ def test_saved_view_equals_the_report(spark, sample_dir):
     view = save_attribution_view(spark, "t_sales", "t_traffic", "v_attribution")
     report = attribution(sales, traffic)
     assert sorted(map(tuple, view.select(report.columns).collect())) == sorted(map(tuple, report.collect()))
+
+
+def test_export_does_not_build_the_tables_again_for_the_calendar(spark, tmp_path, sample_dir, monkeypatch):
+    galaxy, read, write = samples.retail(spark, sample_dir), {}, pipeline.export_csv
+
+    def export(df, path):
+        read[path.rsplit("/", 1)[1]] = df.inputFiles()
+        write(df, path)
+
+    monkeypatch.setattr(pipeline, "export_csv", export)
+    pipeline.export_retail(galaxy, str(tmp_path))
+    assert set(read) == set(galaxy) and read["dim_date"] == [] and read["fact_sales"]
+    for name, df in galaxy.items():
+        stored = spark.read.schema(df.schema).option("header", True).csv(f"{tmp_path}/{name}")
+        assert stored.count() == df.count()
+    days = spark.read.schema(galaxy["dim_date"].schema).option("header", True).csv(f"{tmp_path}/dim_date")
+    assert sorted(map(tuple, days.collect())) == sorted(map(tuple, galaxy["dim_date"].collect()))
