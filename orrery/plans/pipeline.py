@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.functions.dates import EARLIEST, LATEST
-from orrery.operators.rejects import reject_counts, rejected_rows
+from orrery.operators.rejects import REASON, reject_counts, rejected_rows
 from orrery.plans.agency_model import build_agency_galaxy, build_dim_date_agency
 from orrery.plans.agency_reports import channel_efficiency, manager_portfolio
 from orrery.plans.attribution import attribution
@@ -234,8 +234,15 @@ def quarantine_retail(raw: dict[str, DataFrame], out: str, order: Sequence[str]
     ``limits`` are those of ``tag_retail_raw``.
     """
     tagged = tag_retail_raw(raw, order, **limits)
-    publish({name: rejected_rows(df).drop(*order) for name, df in tagged.items()}, out, layouts={})
-    return reject_counts(**tagged)
+    # Clean rows are counted while the others are written, and those from what is stored: no table is tagged twice.
+    clean = {name: Observation() for name in tagged}
+    seen = {name: df.observe(clean[name], F.count_if(F.col(REASON).isNull()).alias("n")) for name, df in tagged.items()}
+    rejected = {name: rejected_rows(df).drop(*order) for name, df in seen.items()}
+    report = publish(rejected, out, layouts={})
+    stored = open_tables(report.sparkSession, out, list(rejected), {name: df.schema for name, df in rejected.items()})
+    rest = [(name, "clean", clean[name].get["n"]) for name in tagged if clean[name].get["n"]]
+    accounted = report.sparkSession.createDataFrame(rest, f"table_name string, {REASON} string, row_count long")
+    return reject_counts(**stored).unionByName(accounted)
 
 
 def run_retail(

@@ -308,3 +308,12 @@ def test_export_does_not_build_the_tables_again_for_the_calendar(spark, tmp_path
         assert stored.count() == df.count()
     days = spark.read.schema(galaxy["dim_date"].schema).option("header", True).csv(f"{tmp_path}/dim_date")
     assert sorted(map(tuple, days.collect())) == sorted(map(tuple, galaxy["dim_date"].collect()))
+
+
+def test_quarantine_counts_come_from_the_stored_rows(spark, tmp_path, sample_dir):
+    raw = samples.retail_raw(spark, sample_dir)
+    counts = pipeline.quarantine_retail(raw, str(tmp_path / "quarantine"))
+    assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in reject_counts(**pipeline.tag_retail_raw(raw)).collect()}
+    assert counts.inputFiles() and all("/quarantine/" in f for f in counts.inputFiles())
+    none = {name: df.where("false") for name, df in raw.items()}
+    assert pipeline.quarantine_retail(none, str(tmp_path / "none")).collect() == []
