@@ -70,21 +70,21 @@ def retail_queries(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[], Da
     }
 
 
-def retail_set(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The retail tables that are replaced together: the galaxy and two of its results."""
-    queries = retail_queries(tables)
+def retail_results(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What is replaced together with the retail tables and computed from them: the calendar and two results."""
+    queries = retail_queries(stored)
     return {
-        **tables,
+        "dim_date": build_dim_date(stored["dim_customers"], stored["fact_sales"], stored["fact_web_traffic"]),
         "rfm_segmentation_results": queries["rfm_segmentation"](),
         "cohort_retention_results": queries["cohort_retention"](),
     }
 
 
-def agency_set(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The agency tables that are replaced together: the galaxy and its three results."""
-    queries = agency_queries(tables)
+def agency_results(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What is replaced together with the agency tables and computed from them: the calendar and three results."""
+    queries = agency_queries(stored)
     return {
-        **tables,
+        "dim_date": build_dim_date_agency(stored["fact_ad_performance"]),
         "manager_portfolio_results": queries["manager_portfolio"](),
         "campaign_channel_results": queries["campaign_channel"](),
         "client_billing_cohorts": queries["client_billing_cohorts"](),

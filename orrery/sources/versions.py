@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,16 +58,27 @@ def publish_set(
     rename: Mapping[str, str] = {},
     layouts: Mapping[str, Layout] = FACT_LAYOUTS,
     required: Mapping[str, Sequence[str]] = {},
+    derive: Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]] | None = None,
 ) -> DataFrame:
     """Write a whole set of tables as one new version and make it current; one report row per table.
 
-    If a table cannot be written, is not stored whole, or has a null in a ``required`` column, nothing changes for
+    ``derive`` gets the tables as they are stored in this version and names the tables of it that are computed from
+    them, so that the tables are built once, however many results need them. If a table cannot be written, is not stored whole, or has a null in a ``required`` column, nothing changes for
     readers. Older versions stay until ``drop_versions``.
     """
     spark = next(iter(tables.values())).sparkSession
     version = f"v-{uuid.uuid4().hex[:16]}"
-    report = publish(tables, f"{root}/{version}", rename, layouts, required=required)
+    folder = f"{root}/{version}"
+    report = publish(tables, folder, rename, layouts, required=required)
     names = [rename.get(name, name) for name in tables]
+    if derive is not None:
+        schemas = {rename.get(name, name): df.schema for name, df in tables.items()}
+        stored = open_tables(spark, folder, names, schemas)
+        results = derive({name: stored[rename.get(name, name)] for name in tables})
+        if set(results) & set(tables):
+            raise ValueError(f"derived tables repeat given ones: {', '.join(sorted(set(results) & set(tables)))}")
+        report = report.unionAll(publish(results, folder, rename, layouts, required=required))
+        names += [rename.get(name, name) for name in results]
     _commit(spark, root, json.dumps({"version": version, "tables": names}))
     return report
 

@@ -317,3 +317,26 @@ def test_quarantine_counts_come_from_the_stored_rows(spark, tmp_path, sample_dir
     assert counts.inputFiles() and all("/quarantine/" in f for f in counts.inputFiles())
     none = {name: df.where("false") for name, df in raw.items()}
     assert pipeline.quarantine_retail(none, str(tmp_path / "none")).collect() == []
+
+
+def test_results_of_a_set_are_computed_from_its_stored_tables(spark, tmp_path, sample_dir):
+    tables, root = samples.retail(spark, sample_dir), str(tmp_path / "set")
+    calendar = tables.pop("dim_date")
+
+    def results(stored):
+        assert all(f"{root}/v-" in f for df in stored.values() for f in df.inputFiles())
+        return pipeline.retail_results(stored)
+
+    report = {r.table_name: r.rows_loaded for r in publish_set(tables, root, derive=results).collect()}
+    opened = open_set(spark, root)
+    assert report == {name: df.count() for name, df in opened.items()} and len(report) == 7
+    assert sorted(map(tuple, opened["dim_date"].collect())) == sorted(map(tuple, calendar.collect()))
+
+    def broken(stored):
+        raise RuntimeError("no results")
+
+    with pytest.raises(RuntimeError):
+        publish_set({"t": spark.range(1).toDF("id")}, root, derive=broken)
+    with pytest.raises(ValueError):
+        publish_set({"t": spark.range(1).toDF("id")}, root, derive=dict)
+    assert set(open_set(spark, root)) == set(opened)
