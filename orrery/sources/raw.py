@@ -31,8 +31,9 @@ def _typed(text: Column, kind: T.DataType) -> Column:
         return text
     if isinstance(kind, (T.IntegerType, T.LongType)):
         # Writers that allow gaps in a whole-number column spell 2 as 2.0.
+        # A cast that fails costs an exception for the row, so a text with a point is not tried as a whole number.
         number = text.try_cast("decimal(38,6)")
-        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
+        return F.coalesce(F.when(~text.contains("."), text.try_cast(kind)), F.when(number == F.floor(number), number).try_cast(kind))
     return text.try_cast(kind)
 
 

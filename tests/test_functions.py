@@ -175,3 +175,15 @@ def test_zero_denominators(spark):
         ratio(F.lit(1), F.lit(0)), ratio_or_zero(F.lit(1), F.lit(0)), ratio_or_zero(F.lit(1), F.lit(None))
     ).first()
     assert tuple(row) == (None, 0.0, 0.0)
+
+
+def test_whole_numbers_with_a_point_are_not_cast_to_int_first(spark):
+    from pyspark.sql import types as T
+
+    from orrery.sources.raw import normalize
+
+    texts = ["2", "2.0", " 2.0 ", "2.", "-1.0", "+3", "2.5", "1e3", ".", "x", "N/A", "99999999999.0", "99999999999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    typed = normalize(df, T.StructType([T.StructField("n", T.IntegerType())]))
+    assert [r.n for r in typed.collect()] == [2, 2, 2, 2, -1, 3, None, 1000, None, None, None, None, None, None]
+    assert "Contains(" in typed._jdf.queryExecution().optimizedPlan().toString()
