@@ -6,7 +6,7 @@ stored for the shorter prefix) and it stay apart under the merge rules. Back-poi
 ids. The words of a batch are sorted, so a prefix that neighbours share is worked out once.
 
 Null and empty texts have no tokens. Special tokens written out in a text become their ids, as in the library. Texts of
-any length are encoded whole; the cache of pieces between white space is trimmed when it holds ``CACHE_PIECES``.
+any length are encoded whole; the caches of pieces between white space and of pairs of tokens are bounded.
 """
 
 from __future__ import annotations
@@ -27,7 +27,12 @@ from pyspark.sql import DataFrame
 from .textops import release
 
 CACHE_PIECES = 150_000
+CACHE_PAIRS = 250_000
 GROUP = 512  # documents encoded together
+# The same where a worker has to stay small: about half the memory beside the vocabulary, half as much time again.
+SMALL_PIECES = 40_000
+SMALL_PAIRS = 60_000
+SMALL_GROUP = 128
 
 _WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # The word pattern of the vocabulary file's pre-tokenizer.
@@ -62,33 +67,34 @@ class WordBpe:
             symbols[vocab[letter]] = (b,)
             symbols[vocab[letter + _SUFFIX]] = (b + 256,)
         self.rank: dict[tuple[int, int], int] = {}
-        parts: dict[int, tuple[int, int]] = {}
+        self.parts: dict[int, tuple[int, int]] = {}
         self.born: dict[int, int] = dict.fromkeys(symbols, -1)
         for rank, (left, right) in enumerate(merges):
             a, b, made = vocab[left], vocab[right], vocab[left + right]
             self.rank[a, b] = rank
             if made not in symbols:
-                parts[made], symbols[made], self.born[made] = (a, b), symbols[a] + symbols[b], rank
+                self.parts[made], symbols[made], self.born[made] = (a, b), symbols[a] + symbols[b], rank
             if rank < max(self.born[a], self.born[b]):
                 raise ValueError("a merge comes before the merges it builds on")
-        #: The tokens on the right (left) edge of a token as it grows, each with the rank at which it is absorbed.
-        self.right_edge = {t: self._edge(t, parts, 1) for t in symbols}
-        self.left_edge = {t: self._edge(t, parts, 0) for t in symbols}
         self._apart: dict[tuple[int, int], bool] = {}
         whole: dict[int, bool] = dict.fromkeys(symbols, True)
-        for t, (a, b) in parts.items():  # a token that its own text does not encode to is never used
+        for t, (a, b) in self.parts.items():  # a token that its own text does not encode to is never used
             whole[t] = whole[a] and whole[b] and self._stay_apart(a, b, self.born[t])
         self._build({t: s for t, s in symbols.items() if whole[t]})
         self.text = {i: str(i) for i in self.token}
         self.cache: dict[str, tuple[str, str]] = {}
+        self.most_pieces, self.most_pairs = CACHE_PIECES, CACHE_PAIRS
 
-    def _edge(self, token: int, parts: dict[int, tuple[int, int]], side: int) -> list[tuple[int, int]]:
-        out, absorbed = [], 1 << 60
-        while True:
-            out.append((token, absorbed))
-            if token not in parts:
-                return out
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens on the right (1) or left (0) edge of a token as it grows, each with the rank at which it is absorbed.
+
+        Worked out for each new pair of tokens: lists of all of them take more memory than the rest of the vocabulary.
+        """
+        out, absorbed, parts = [(token, 1 << 60)], 0, self.parts
+        while token in parts:
             absorbed, token = self.born[token], parts[token][side]
+            out.append((token, absorbed))
+        return out
 
     def _stay_apart(self, a: int, b: int, before: int = 1 << 60) -> bool:
         """No merge of rank under ``before`` ever joins the texts of ``a`` and ``b`` at their border.
@@ -96,54 +102,57 @@ class WordBpe:
         Of equal ranks the merge further left goes first, so one inside ``a`` beats the border and the border beats one
         inside ``b``.
         """
-        for x, x_gone in self.right_edge[a]:
-            for y, y_gone in self.left_edge[b]:
-                rank = self.rank.get((x, y))
+        left, ranks = self._edge(b, 0), self.rank
+        for x, x_gone in self._edge(a, 1):
+            for y, y_gone in left:
+                rank = ranks.get((x, y))
                 if rank is not None and rank < before and rank < x_gone and rank <= y_gone:
                     return False
         return True
 
     def _build(self, symbols: dict[int, tuple[int, ...]]) -> None:
         """The automaton: trie edges, suffix links, and per state the tokens that end there, longest first."""
-        self.next: list[dict[int, int]] = [{}]
+        self.go: list[dict[int, int]] = [{}]
         ends: list[tuple[int, int] | None] = [None]
         for t, word in symbols.items():
             state = 0
             for s in word:
-                to = self.next[state].get(s)
+                to = self.go[state].get(s)
                 if to is None:
-                    to = self.next[state][s] = len(self.next)
-                    self.next.append({})
+                    to = self.go[state][s] = len(self.go)
+                    self.go.append({})
                     ends.append(None)
                 state = to
             ends[state] = (t, len(word))
-        self.link = [0] * len(self.next)
-        self.go = [dict(edges) for edges in self.next]
-        self.found: list[tuple[tuple[int, int], ...]] = [()] * len(self.next)
+        self.link = [0] * len(self.go)
+        self.found: list[tuple[tuple[int, int], ...]] = [()] * len(self.go)
         level = [0]
         while level:
             below = []
             for state in level:
-                for s, to in self.next[state].items():
+                for s, to in self.go[state].items():
                     if state:
                         back = self.link[state]
-                        while back and s not in self.next[back]:
+                        while back and s not in self.go[back]:
                             back = self.link[back]
-                        self.link[to] = self.next[back].get(s, 0)
+                        self.link[to] = self.go[back].get(s, 0)
                     self.found[to] = ((ends[to],) if ends[to] else ()) + self.found[self.link[to]]
                     below.append(to)
             level = below
 
     def _step(self, state: int, s: int) -> int:
-        """The state after symbol ``s``; worked out by suffix links once, then stored as an edge of ``go``."""
-        at = state
-        while at and s not in self.next[at]:
+        """The state after symbol ``s``; worked out by suffix links once, then stored among the edges of the trie.
+
+        A stored edge is right for every state that reaches it by suffix links, like an edge of the trie.
+        """
+        at, go = state, self.go
+        while at and s not in go[at]:
             at = self.link[at]
-        to = self.go[state][s] = self.next[at].get(s, 0)
+        to = go[state][s] = go[at].get(s, 0)
         return to
 
     def _fits(self, before: int, token: int) -> bool:
-        if len(self._apart) > 250_000:
+        if len(self._apart) > self.most_pairs:
             self._apart.clear()
         ok = self._apart[before, token] = self._stay_apart(before, token)
         return ok
@@ -194,6 +203,9 @@ class WordBpe:
             out += [part] if k % 2 else _WORD.findall(_normal(part))
         return out
 
+    def forget(self) -> None:
+        self.cache, self._apart = {}, {}
+
     def lookup(self, pieces: set[str]) -> tuple[dict[str, str], dict[str, str]]:
         """Ids and tokens of each piece as text; new ones are encoded together and cached."""
         ids_of, tokens_of = {}, {}
@@ -212,7 +224,7 @@ class WordBpe:
         known = {t: (text[i], t) for t, i in self.special.items()}
         for word, ids in zip(order, self.encode_words(order)):
             known[word.decode()] = (text[ids[0]], name[ids[0]]) if len(ids) == 1 else (" ".join([text[i] for i in ids]), " ".join([name[i] for i in ids]))
-        if len(self.cache) + len(new) > CACHE_PIECES:  # what this batch uses stays
+        if len(self.cache) + len(new) > self.most_pieces:  # what this batch uses stays
             self.cache = {p: (ids, tokens_of[p]) for p, ids in ids_of.items()}
         for p, ws in split.items():
             found = known[ws[0]] if len(ws) == 1 else (" ".join([known[w][0] for w in ws]), " ".join([known[w][1] for w in ws]))
@@ -264,28 +276,32 @@ def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     """Token ids and decoded text of each document, or with ``digest`` their SHA-256 only.
 
     Returns ``key``, ``n_tokens`` and ``ids``, ``decoded`` (or ``ids_sha256``, ``decoded_sha256``); one row for each
-    input row, repeated rows included. Other columns are not read. Without ``keep_pieces`` a task's cached pieces go at
-    its end: slower, but workers that later stages use again are smaller.
+    input row, repeated rows included. Other columns are not read. Without ``keep_pieces`` a task caches less, encodes
+    fewer documents together and gives its caches up at its end: slower, but the workers are smaller.
     """
 
+    group = GROUP if keep_pieces else SMALL_GROUP
     names = ["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         gc.freeze()  # the vocabulary's many small objects are not searched again and again
         gc.set_threshold(200_000, 20, 100)
+        bpe.most_pieces, bpe.most_pairs = (CACHE_PIECES, CACHE_PAIRS) if keep_pieces else (SMALL_PIECES, SMALL_PAIRS)
+        if not keep_pieces:
+            release()  # of the stages before, and of building the vocabulary
         try:
             yield from encoded(bpe, batches)
         finally:
             if not keep_pieces:
-                bpe.cache = {}
+                bpe.forget()
                 release()
 
     def encoded(bpe: WordBpe, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, GROUP):
-                part = batch.slice(low, GROUP)
-                ids, decoded, count = map(list, zip(*encode_batch(bpe, part.column(text).to_pylist())))
+            for low in range(0, batch.num_rows, group):
+                part = batch.slice(low, group)
+                ids, decoded, count = map(list, zip(*encode_batch(bpe, part.column(text).to_pylist(), group)))
                 if digest:
                     ids = pa.array([hashlib.sha256(a.encode()).hexdigest() for a in ids], pa.string())
                     decoded = [hashlib.sha256(b.encode()).hexdigest() for b in decoded]

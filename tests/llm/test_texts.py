@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,26 @@ def test_bpe_equals_the_library(spark):
         assert rows[key]["decoded"] == library.decode(ids, skip_special_tokens=False)
         assert digests[key]["ids_sha256"] == sha(" ".join(map(str, ids))) and digests[key]["decoded_sha256"] == sha(rows[key]["decoded"])
     assert bpe.bpe_encode(frame(spark, []), path).count() == 0
+    small = {r["doc_id"]: r for r in bpe.bpe_encode(frame(spark, list(enumerate(texts))), path, keep_pieces=False).collect()}
+    assert small == rows
+
+
+def test_bpe_workers_stay_small():
+    path, rng = tokenizer_file("word_bpe_49k.json"), random.Random(5)
+    tracemalloc.start()
+    model = bpe.WordBpe(path)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 80 << 20  # 104 MB with edges listed for each token and the trie kept twice
+    texts = [" ".join("".join(rng.choices("abcdeé1-", k=rng.randint(1, 9))) for _ in range(30)) for _ in range(60)]
+    expected = list(bpe.encode_batch(model, texts))
+    model.forget()
+    model.most_pieces, model.most_pairs = 100, 50
+    found = []
+    for text in texts:
+        found += bpe.encode_batch(model, [text], 1)
+        assert len(model.cache) <= 130 and len(model._apart) <= 51
+    assert found == expected
 
 
 def test_fertility_base_measures(spark):
